@@ -64,3 +64,21 @@ def spread(df: DataFrame, *keys: str, waves: int = PYTHON_WAVES) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores * waves:
         return df
     return df.repartition(cores * waves, *keys)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result once to the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, but computes the rows once and keeps
+    them columnar, so later passes read only the columns they need.  The files
+    go when the JVM ends.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/voxloom-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
