@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from voxloom.llm import speech
 from voxloom.llm.kinds import text_kind
 from voxloom.llm.lm import LANGS, PieceModel, load_pieces, train
-from voxloom.session import spread
+from voxloom.session import spread, stage
 
 #: A sentence's language counts from this posterior on.
 SURE = 0.9
@@ -159,6 +159,11 @@ def languages(df: DataFrame, model: PieceModel, id_col: str = "row_id", text_col
     return spread(src, "id").mapInPandas(run, schema)
 
 
+def staged(found: DataFrame) -> DataFrame:
+    """The detected languages, computed once for several uses."""
+    return stage(found.drop("confidence"), "languages")
+
+
 def label_faults(found: DataFrame, label_col: str = "language") -> DataFrame:
     """``id, kind, lang`` of missing and wrong labels and of segments in a further language."""
     code = label_code(F.col(label_col))
@@ -172,4 +177,4 @@ def label_faults(found: DataFrame, label_col: str = "language") -> DataFrame:
     return label.unionByName(segments)
 
 
-__all__ = ["LANGS", "detect", "fit_model", "label_code", "label_faults", "languages"]
+__all__ = ["LANGS", "detect", "fit_model", "label_code", "label_faults", "languages", "staged"]
