@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.plans import interval_queries  # noqa: F401
+from voxloom.plans import curation, diarization, interval_queries, signals  # noqa: F401
 from voxloom.plans.registry import ORACLE, QUERIES
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return QUERIES["p2_found"](spark, sf)
+    """Quality tiers of transcripts by language with their total."""
+    return curation.tier_report(spark, sf)
 
 
 def queries() -> dict:
