@@ -64,8 +64,8 @@ _AT = r"(?:\s?@\s?|\s?[\[(]\s?at\s?[\])]\s?|\s+(?:at|arroba)\s+)"
 _DOT = r"(?:\.|\s?[\[(]\s?(?:dot|punto)\s?[\])]\s?|\s+(?:dot|punto)\s+)"
 _EMAIL = re.compile(
     r"(?<![A-Za-z0-9._+\-])[A-Za-z0-9](?:[A-Za-z0-9._+\-]*[A-Za-z0-9_+])?"
-    r"(?:\s?[\[(]?\s?\b(?:dot|underscore|dash|plus|punto)\b\s?[\])]?\s?[A-Za-z0-9][A-Za-z0-9_+\-]*)*"
-    rf"{_AT}[A-Za-z0-9][A-Za-z0-9\-]*(?:{_DOT}[A-Za-z0-9][A-Za-z0-9\-]*)*{_DOT}[A-Za-z]{{2,}}(?![A-Za-z0-9])",
+    r"(?:\s?[\[(]?\s?\b(?:dot|underscore|dash|plus|punto)\b\s?[\])]?\s?[A-Za-z0-9][A-Za-z0-9_+\-]*){0,4}"
+    rf"{_AT}[A-Za-z0-9][A-Za-z0-9\-]*(?:{_DOT}[A-Za-z0-9][A-Za-z0-9\-]*){{0,5}}{_DOT}[A-Za-z]{{2,}}(?![A-Za-z0-9])",
     re.I,
 )
 _CLEAR = r"(?<![A-Za-z0-9_.+\-/,])"

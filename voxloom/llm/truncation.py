@@ -33,7 +33,7 @@ WIDTH = 40
 #: A spike in the lengths is a limit from so many rows, and from this share of the set's unfinished texts, on.
 LIMIT_ROWS, LIMIT_SHARE = 3, 0.12
 _STOP_END = re.compile(r"[.!?。！？][\"”’')\]）》」]*\s*[,，]?\s*$")
-_ELLIPSIS = re.compile(r"\s*(?:…+|\.{3,})\s*$")
+_ELLIPSIS = re.compile(r"(?:…|\.{3})\s*$")
 _ANNOTATION_END = re.compile(r"(?:" + speech.ANNOTATION.pattern + r")[\s,，.]*$", re.I)
 _LABEL_END = re.compile(r"(?:" + "|".join(speech.LABEL_STYLES) + r")\s*$", re.I)
 _TIME_END = re.compile(r"(?:" + "|".join(speech.TIMESTAMP_STYLES) + r")\s*$")
@@ -53,10 +53,10 @@ def _hash(feature: str) -> int:
 
 def closing(text: str) -> tuple[str, bool]:
     """The text without an ellipsis at its end, and whether there was one; a filler keeps its own."""
-    m = _ELLIPSIS.search(text)
-    if not m:
-        return text.rstrip(), False
-    return text[: m.start()].rstrip(), True
+    whole = text.rstrip()
+    if not whole.endswith(("…", "...")):
+        return whole, False
+    return whole.rstrip(".…").rstrip(), True
 
 
 def features(text: str, at_limit: str) -> list[int]:

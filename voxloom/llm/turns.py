@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,6 +80,7 @@ def candidates(text: str) -> list[Candidate]:
     # Timestamps stand before the labels of a text or after them, as most of its labels show.
     leading = sum(before(a) is not None for a, _, _ in labels) >= sum(after(b) is not None for _, b, _ in labels)
     styles = [re.sub(r"\d+", "9", text[a:b]).strip() for a, b, _ in labels]
+    uses = Counter(styles)
     out = []
     for k, (a, b, number) in enumerate(labels):
         head, body, seconds = a, b, None
@@ -86,12 +88,12 @@ def candidates(text: str) -> list[Candidate]:
             head, seconds = hit[0], speech.timestamp_seconds(hit[1])
         elif not leading and (hit := after(b)):
             body, seconds = hit[0], speech.timestamp_seconds(hit[1])
-        prior, following = text[:head][-40:], text[body : body + 40].lstrip(" \t,，")
+        prior, following = text[max(0, head - 40) : head], text[body : body + 40].lstrip(" \t,，")
         bracketed = text[a] in "<*[说" or "_" in text[a:b] or text[b - 1] == ">"
         x = np.zeros(len(FEATURES))
         x[_INDEX["turns"]] = 1
         x[_INDEX["bracketed" if bracketed else "plain"]] = 1
-        line = not prior.strip() or bool(re.search(r"[\r\n]\s*\Z", prior))
+        line = head == 0 or not prior.strip() or bool(re.search(r"[\r\n]\s*\Z", prior))
         stop = line or _ends_stop(prior)
         comma = bool(re.search(r"[,，]\s*\Z", prior))
         x[_INDEX["line_start"]] = line
@@ -103,7 +105,7 @@ def candidates(text: str) -> list[Candidate]:
         x[_INDEX["before_capital"]] = bool(first) and not first.islower()
         x[_INDEX["mention"]] = not bracketed and not (stop or comma) and first.islower() and seconds is None
         x[_INDEX["timestamp" if seconds is not None else "no_timestamp"]] = 1
-        x[_INDEX["style_repeats"]] = styles.count(styles[k]) > 1
+        x[_INDEX["style_repeats"]] = uses[styles[k]] > 1
         out.append(Candidate(head, body, number, seconds, x))
     return out
 
