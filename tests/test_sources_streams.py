@@ -1,4 +1,5 @@
 import json
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -65,7 +66,10 @@ def test_stream_cuts_like_the_batch(spark, tmp_path):
         spark.createDataFrame(ROWS[k : k + 2], schemas.STREAM_CHUNK).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
     stream = readers.chunk_stream(spark, str(tmp_path / "in"), 1)
     q = rechunk.rechunk_stream(stream, config).writeStream.format("memory").queryName("rc").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
-    q.processAllAvailable()
+    # Processing-time timeouts keep a stream busy for ever, so it is stopped when it has read everything.
+    until = time.time() + 90
+    while sum(p["numInputRows"] for p in q.recentProgress) < len(ROWS) and time.time() < until:
+        time.sleep(0.5)
     q.stop()
     assert {tuple(r) for r in spark.table("rc").collect()} == batch
 
