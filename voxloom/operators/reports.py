@@ -12,7 +12,7 @@ def share_report(df: DataFrame, group: str, hit: Column, places: int = 2) -> Dat
     """Rows, hits and their percentage for each group and for all together; 0 percent of nothing.
 
     Hits are counted map-side, so a hot group is no burden.  An empty table
-    gives the total row alone; a null group is named ``none``.
+    gives no row; a null group is named ``none``.
     """
     named = df.select(F.coalesce(F.col(group).cast("string"), F.lit("none")).alias(group), F.coalesce(hit, F.lit(False)).alias("_hit"))
     rolled = named.rollup(group).agg(F.count("_hit").alias("n_rows"), F.count_if("_hit").alias("n_hits"))

@@ -35,7 +35,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="voxloom-checkpoint-")
     context.setCheckpointDir(shared)
