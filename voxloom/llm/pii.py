@@ -112,6 +112,24 @@ _ADDRESSES = [
 ]
 
 
+# What a text must hold for a pattern to be worth running; none of these leaves out a match.
+_EMAIL_HINT = re.compile(r"@|(?:\bat|arroba)\s?[\])]?\s?[A-Za-z0-9\-]+(?:\.[A-Za-z0-9]|\s?[\[(]?\s?(?:dot|punto))", re.I)
+_ADDRESS_HINTS = [
+    ("Street", "Road", "Ave", "Lane", "Close", "Drive", "Crescent", "Court", "Way", "Terrace", "Boulevard", "Blvd.", "St.", "Rd.", "Ln.", "Dr."),
+    ("Jalan", "Jln", "Lorong", "Lrg", "Persiaran", "Lebuh", "Pangsapuri", "Kampung", "Kg", "Kondominium", "Flat"),
+    ("C/", "Calle", "Av", "Plaza", "Paseo", "Camino", "Carrera", "Travesía"),
+    ("சாலை", "தெரு", "சந்து", "வீதி", "நகர்", "தோட்டம்"),
+    ("号",),
+]
+_SPOKEN_WORDS = [w.split() for w in _SPOKEN.values()]
+
+
+def _spoken_digits(text: str) -> bool:
+    """Whether a text holds seven words of digits of one language, however they stand."""
+    low = text.lower()
+    return any(sum(map(low.count, words)) >= 7 for words in _SPOKEN_WORDS) or sum(map(text.count, _HAN_DIGITS)) >= 7
+
+
 def _digits(s: str) -> int:
     return sum(c.isdigit() for c in s)
 
@@ -129,7 +147,7 @@ def shape(kind: str, span: str) -> str:
 
 def structured(text: str) -> list[tuple[int, int, str]]:
     """Spans of the forms of emails, addresses, ids and phones, none overlapping."""
-    t = text.translate(_WIDE)
+    t = text if text.isascii() else text.translate(_WIDE)
     found: list[tuple[int, int, str]] = []
     taken = bytearray(len(t))
 
@@ -140,17 +158,18 @@ def structured(text: str) -> list[tuple[int, int, str]]:
             taken[a:b] = b"\x01" * (b - a)
             found.append((a, b, kind))
 
-    for m in _EMAIL.finditer(t):
-        add(m.start(), m.end(), "email")
-    for p in _ADDRESSES:
-        for m in p.finditer(t):
+    if _EMAIL_HINT.search(t):
+        for m in _EMAIL.finditer(t):
+            add(m.start(), m.end(), "email")
+    for p, hints in zip(_ADDRESSES, _ADDRESS_HINTS):
+        for m in p.finditer(t) if any(h in t for h in hints) else ():
             if _digits(m.group()):
                 add(m.start(), m.end(), "address")
     for k, p in enumerate(_IDS):
         for m in p.finditer(t):
             if k or _born(m.group(1)):
                 add(m.start(), m.end(), "id")
-    for m in _SPOKEN_RUN.finditer(t):
+    for m in _SPOKEN_RUN.finditer(t) if _spoken_digits(t) else ():
         add(m.start(), m.end(), "phone")
     for p in _PHONES:
         for m in p.finditer(t):
@@ -218,6 +237,7 @@ class TermCounts:
         self.hits: Counter = Counter()
         self.words: Counter = Counter()
         self.named: Counter = Counter()
+        self.chars: Counter = Counter()
 
     def add(self, text: str) -> None:
         counts, hits = self.counts, self.hits
@@ -238,10 +258,7 @@ class TermCounts:
             w = body[a:b].lower()
             if not _LINK.match(w):
                 self.named[w] += 1
-        for c, n in Counter(body).items():
-            if "一" <= c <= "鿿":
-                counts[-3] += n
-                counts[_bucket(f"h{c}")] += n
+        self.chars.update(body)
         for m in _HAN_CUE.finditer(body):
             hits[-3] += 1
             for k, c in enumerate(m.group(1) or m.group(2)):
@@ -250,6 +267,10 @@ class TermCounts:
     def rows(self) -> list[tuple[int, int, int]]:
         """(term, count, count in a protected context)."""
         counts, hits = self.counts.copy(), self.hits.copy()
+        for c, n in self.chars.items():
+            if "一" <= c <= "鿿":
+                counts[-3] += n
+                counts[_bucket(f"h{c}")] += n
         for w, n in self.words.items():
             named = self.named.get(w, 0)
             counts[-2] += n
