@@ -28,6 +28,7 @@ def test_turn_without_timestamp_follows_its_neighbour():
 
 def test_annotation_inside_a_chinese_word():
     assert found("<Speaker1>: 我们, (err), 再试一次吧。") == [(1, 1, "我们再试一次吧。")]
+    assert found("<Speaker1>: <nois, (err), e> S2: （笑(oh)声） S1: 好") == [(1, 1, "好")]
 
 
 def test_segmentation_of_held_out_transcripts():

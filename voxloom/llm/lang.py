@@ -52,15 +52,16 @@ def label_code(label):
 
 def fit_model(
     spark: SparkSession, samples: DataFrame, words: DataFrame | None = None, labelled: DataFrame | None = None,
-    max_samples: int = 5000, max_labelled: int = 3000,
+    max_samples: int = 5000, max_labelled: int = 3000, max_chars: int = 20_000,
 ) -> PieceModel:
     """Train on bounded samples of labelled text.
 
     At most ``max_samples`` sentences (``lang``, ``text``) and as many common
     words (``lang``, ``word``) give a first model.  Of ``labelled`` rows
     (``id``, ``text``, ``language``) at most ``max_labelled``, chosen by hash,
-    whose label agrees with that model, then add the wordings of real speech.
-    The bounds hold at every size of the input.
+    whose label agrees with that model, then add the wordings of real speech;
+    texts over ``max_chars`` are not among them.  The bounds hold at every size
+    of the input.
     """
     rows = samples.where("lang is not null and text is not null").select("lang", "text").orderBy("lang", "text").limit(max_samples).collect()
     data = [(r.lang, r.text) for r in rows]
@@ -71,7 +72,7 @@ def fit_model(
     if labelled is None or not model.langs:
         return model
     code = label_code(F.col("language"))
-    picked = labelled.where(F.col("text").isNotNull() & code.isin(*model.langs)).select("text", code.alias("code"), F.xxhash64("id").alias("h"))
+    picked = labelled.where((F.length("text") <= max_chars) & code.isin(*model.langs)).select("text", code.alias("code"), F.xxhash64("id").alias("h"))
     extra = []
     for r in picked.orderBy("h", "text").limit(max_labelled).collect():
         extra += agreeing_sentences(r.text, r.code, model)

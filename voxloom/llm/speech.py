@@ -39,13 +39,28 @@ FILLERS = frozenset(
     "hmm hm um umm uh uhh err er erm ah aa aah eh mmm mm oh este 嗯 嗯嗯 呃 呃呃 额 ஆஆ ம்ம் ஹ்ம்".split()
 )
 
+#: An annotation that another one was put into; the inner one is a NUL by then.
+_SPLIT = re.compile(r"([(（<\[*])([^()（）<>\[\]*\x00\n]{0,12})\x00([^()（）<>\[\]*\x00\n]{0,12})([)）>\]*])")
+
+
+def _rejoined(m: re.Match) -> str:
+    """A NUL for an annotation whose two halves make one; anything else stays."""
+    whole = m.group(1) + m.group(2).rstrip(" ,，") + m.group(3).lstrip(" ,，") + m.group(4)
+    return "\x00" if ANNOTATION.fullmatch(whole) else m.group()
+
+
+def blank_annotations(text: str) -> str:
+    """The text with a NUL in the place of each annotation, also of one with another inside."""
+    return _SPLIT.sub(_rejoined, ANNOTATION.sub("\x00", text))
+
+
 WORD = re.compile(r"[一-鿿㐀-䶿]+|(?:(?![一-鿿㐀-䶿])[\w஀-௿̀-ͯ'’])+")
 SENTENCE = re.compile(r"[^.!?。！？…\n\r]+[.!?。！？…]*")
 
 
 def strip_marks(text: str) -> str:
     """The text without labels, timestamps and annotations, each replaced by a blank."""
-    return ANNOTATION.sub(" ", TIMESTAMP.sub(" ", LABEL.sub(" ", text)))
+    return blank_annotations(TIMESTAMP.sub(" ", LABEL.sub(" ", text))).replace("\x00", " ")
 
 
 def words_of(text: str) -> list[str]:
@@ -55,7 +70,7 @@ def words_of(text: str) -> list[str]:
 
 def clean_words(text: str) -> list[str]:
     """The words of a turn without timestamps, annotations and fillers."""
-    return [w for w in words_of(ANNOTATION.sub(" ", TIMESTAMP.sub(" ", text))) if w.lower() not in FILLERS]
+    return [w for w in words_of(blank_annotations(TIMESTAMP.sub(" ", text)).replace("\x00", " ")) if w.lower() not in FILLERS]
 
 
 #: An annotation inside a Chinese word leaves no blank there.
@@ -64,7 +79,7 @@ _HAN_GAP = re.compile(r"(?<=[一-鿿])[\s,，]*\x00[\s,，]*(?=[一-鿿])")
 
 def clean_text(text: str) -> str:
     """The readable words of a turn: marks and fillers out, blanks and stray commas mended."""
-    out = ANNOTATION.sub("\x00", TIMESTAMP.sub(" ", text))
+    out = blank_annotations(TIMESTAMP.sub(" ", text))
     out = _HAN_GAP.sub("", out).replace("\x00", " ")
     out = WORD.sub(lambda m: " " if m.group().lower() in FILLERS else m.group(), out)
     out = re.sub(r"\s+", " ", out)

@@ -211,9 +211,9 @@ def against_limit(text: str, limit: tuple[str, int] | None) -> str:
     return "at" if n - slack <= size <= n else "over" if size > n else "no"
 
 
-def fit(df: DataFrame, limits: dict[str, tuple[str, int]], id_col: str = "row_id", set_col: str = "config_key", text_col: str = "text", max_rows: int = 6000, seed: int = 11) -> np.ndarray:
-    """Train on artificial cuts of at most ``max_rows`` intact texts, chosen by hash of the id."""
-    intact = df.where(F.col(text_col).rlike(r"[.!?。！？]\s*$") & ~F.col(text_col).rlike(r"\.\.\.\s*$"))
+def fit(df: DataFrame, limits: dict[str, tuple[str, int]], id_col: str = "row_id", set_col: str = "config_key", text_col: str = "text", max_rows: int = 6000, max_chars: int = 20_000, seed: int = 11) -> np.ndarray:
+    """Train on artificial cuts of at most ``max_rows`` intact texts of at most ``max_chars``, chosen by hash of the id."""
+    intact = df.where(F.length(text_col) <= max_chars).where(F.col(text_col).rlike(r"[.!?。！？]\s*$") & ~F.col(text_col).rlike(r"\.\.\.\s*$"))
     rows = intact.select(F.col(set_col).alias("s"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")).orderBy("h", "text").limit(max_rows).collect()
     rng = random.Random(seed)
     examples = [
