@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.session import stage
+
 
 def last_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """The last row of each key by ``order``; aggregated map-side, so a hot key is no burden."""
@@ -50,7 +52,8 @@ def numbered(df: DataFrame, order: list[Column], name: str = "position", by: lis
     if by:
         return df.withColumn(name, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("long"))
     n = parts or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    # Staged, since both readings below must see the same ranges.
+    ranged = stage(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranges")
     inside = Window.partitionBy("_part").orderBy(*order)
     local = ranged.withColumn("_in", (F.row_number().over(inside) - 1).cast("long"))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
