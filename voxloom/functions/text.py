@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space at both ends, in the Unicode sense (``trim`` knows only U+0020).
-_OUTER = r"(?U)^\s+|\s+$"
+_OUTER = r"(?U)^\s+|(?<!\s)\s+$"
 
 # Fixed values of the curation rules.
 MIN_WPM = {"en": 70.0, "ms": 70.0, "zh": 110.0, "ta": 50.0}

@@ -16,7 +16,7 @@ def json_body(raw: Column, repair: bool = False) -> Column:
     """The text from the first to the last brace, or all of it, without code fences; one missing brace closed where asked."""
     found = F.regexp_extract(raw, r"(?s)\{.*\}", 0)
     body = F.when(found != "", found).otherwise(raw)
-    body = F.regexp_replace(F.regexp_replace(body, "```json|```", ""), r"(?U)^\s+|\s+$", "")
+    body = F.regexp_replace(F.regexp_replace(body, "```json|```", ""), r"(?U)^\s+|(?<!\s)\s+$", "")
     if repair:
         count = lambda c: F.length(body) - F.length(F.replace(body, F.lit(c), F.lit("")))
         body = F.when(count("{") > count("}"), F.concat(body, F.lit("}"))).otherwise(body)
@@ -29,7 +29,8 @@ def single_object(body: Column) -> Column:
     The JVM's parser ends at the first object's brace.  Strings, then inner
     objects and arrays are taken out; what remains must be one pair of braces.
     """
-    flat = F.regexp_replace(body, r'"(?:\\.|[^"\\])*"', "0")
+    # Escapes go first, so that a string is a run without quotes, which the JVM matches without recursion.
+    flat = F.regexp_replace(F.regexp_replace(body, r"(?s)\\.", ""), r'"[^"]*+"', "0")
     for _ in range(4):
         flat = F.regexp_replace(flat, r"(?<=[\[{:,\s])\{[^{}]*\}|\[[^\[\]{}]*\]", "0")
     return flat.rlike(r"^\s*\{[^{}]*\}\s*$")

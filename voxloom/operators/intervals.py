@@ -63,7 +63,7 @@ def clean_segments(df: DataFrame, entity: list[str], start: str = "start_time",
     speakers; a speaker counts without outer blanks and in lower case.
     """
     s, e = F.col(start).cast("double"), F.col(end).cast("double")
-    keys = [F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).alias(c) if c == speaker else F.col(c) for c in entity]
+    keys = [F.lower(F.regexp_replace(c, r"(?U)^\s+|(?<!\s)\s+$", "")).alias(c) if c == speaker else F.col(c) for c in entity]
     rows = df.where(s.isNotNull() & e.isNotNull() & ~F.isnan(s) & ~F.isnan(e) & (e > s)).select(
         *keys, F.round(s * 1000).cast("long").alias("start_ms"), F.round(e * 1000).cast("long").alias("end_ms")
     )
