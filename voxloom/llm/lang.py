@@ -43,7 +43,7 @@ NO_LANGUAGE = ["", "none", "null", "unknown", "und", "nan", "n/a", "na", "?", "-
 
 def label_code(label):
     """Column: code of the language that a label names; empty where it names none; the label itself where it names another one."""
-    plain = F.lower(F.regexp_replace(F.coalesce(label, F.lit("")), r"(?U)^\s+|\s+$", ""))
+    plain = F.lower(F.regexp_replace(F.coalesce(label, F.lit("")), r"(?U)^\s+|(?<!\s)\s+$", ""))
     base = F.regexp_replace(plain, r"[-_][a-z0-9]{2,4}$", "")
     table = F.create_map(*[F.lit(x) for pair in _CODES.items() for x in pair])
     known = F.coalesce(F.try_element_at(table, plain), F.try_element_at(table, base))

@@ -286,7 +286,7 @@ def diarized_turns(df: DataFrame, id_col: str = "file_name", array_col: str = "s
     without one counts by its spelling, without case and outer blanks.  Empty
     and null arrays give no rows.
     """
-    label = lambda x: F.lower(F.regexp_replace(x["speaker"], r"(?U)^\s+|\s+$", ""))
+    label = lambda x: F.lower(F.regexp_replace(x["speaker"], r"(?U)^\s+|(?<!\s)\s+$", ""))
     number = lambda x: F.regexp_extract(x["speaker"], r"(\d+)", 1)
     kept = F.filter(
         F.transform(
