@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -155,3 +156,19 @@ def test_simulation():
     assert all(len(set(d)) == 2 for d in decks) and {x: sum(x in d for d in decks) for x in "abc"} == {"a": 4, "b": 4, "c": 4}
     with pytest.raises(ValueError):
         simulate.SessionConfig(speakers=0)
+
+
+def test_simulation_draws_from_all_samples_of_all_speakers(spark):
+    rows = [(f"s{i:04}", ["w"], [0.5]) for i in range(2100)] + [("s2099", [f"x{j:03}"], [0.5]) for j in range(300)]
+    df = spark.createDataFrame(rows + [(None, ["n"], [0.5]), ("s0000", [], [])], "speaker_id string, words array<string>, alignments array<double>")
+    got = simulate.simulate_sessions(spark, df, simulate.SessionConfig(sessions=700, speakers=3, seconds=30.0)).collect()
+    assert {r.session for r in got} == set(range(700))
+    assert len({r.speaker for r in got}) > 1900 and any(r.speaker >= "s2000" for r in got)
+    one = df.where("speaker_id = 's2099'")
+    config = simulate.SessionConfig(sessions=40, speakers=1, seconds=60.0)
+    drawn = {tuple(r) for r in simulate.simulate_sessions(spark, one, config).selectExpr("session", "turn", "speaker", "to_json(words)", "end_time").collect()}
+    words = {w for r in drawn for w in json.loads(r[3])}
+    assert len(words) > 290
+    few = simulate.simulate_sessions(spark, one, config, draws=1).selectExpr("session", "turn", "speaker", "to_json(words)", "end_time").collect()
+    assert {tuple(r) for r in few} == drawn
+    assert simulate.simulate_sessions(spark, one.where("false"), config).count() == 0

@@ -6,14 +6,17 @@ pauses and overlaps, so sessions can be made anywhere and again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.operators import joins
+from voxloom.session import stage
 
 @dataclass(frozen=True)
 class SessionConfig:
@@ -93,10 +96,11 @@ def next_speaker(previous: int | None, cumulative: np.ndarray, config: SessionCo
             return k
 
 
-def build_session(session: int, speakers: list[tuple[str, list[tuple[list[str], list[float]]]]], config: SessionConfig) -> list[tuple]:
+def build_session(session: int, speakers: list[tuple[str, list[tuple[list[str], list[float]]]]], config: SessionConfig, draw: Callable[[int], tuple[list[str], list[float]]] | None = None) -> list[tuple]:
     """Sentences of one session as (session, turn, speaker, start, end, volume, words, word ends).
 
-    ``speakers`` holds for each one its samples of words and their end times.  A
+    ``speakers`` holds for each one its samples of words and their end times;
+    ``draw`` gives a speaker's next sample, if not any of those at random.  A
     sentence's length is a negative binomial draw plus one; words are taken from
     samples at their alignments.  A pause or an overlap goes before each
     sentence, whichever brings the session nearer its means; nobody overlaps
@@ -116,7 +120,7 @@ def build_session(session: int, speakers: list[tuple[str, list[tuple[list[str],
         wanted = int(rng.negative_binomial(config.sentence_k, config.sentence_p)) + 1
         samples = speakers[who][1]
         while len(words) < wanted and samples:
-            w, a = samples[int(rng.integers(len(samples)))]
+            w, a = draw(who) if draw else samples[int(rng.integers(len(samples)))]
             at = 0.0
             for word, end in zip(w, a):
                 if word and len(words) < wanted:
@@ -152,26 +156,64 @@ def build_session(session: int, speakers: list[tuple[str, list[tuple[list[str],
 SESSION_SCHEMA = "session long, turn long, speaker string, start_time double, end_time double, volume double, words array<string>, word_ends array<double>"
 
 
-def simulate_sessions(spark: SparkSession, manifest: DataFrame, config: SessionConfig, speaker: str = "speaker_id", max_speakers: int = 2000, max_samples: int = 20) -> DataFrame:
-    """Sentences of all sessions.  At most ``max_speakers`` speakers with ``max_samples`` samples each take part, which bounds what workers hold."""
-    ranked = manifest.where(F.col(speaker).isNotNull() & (F.size("words") > 0)).groupBy(speaker).agg(
-        F.slice(F.array_sort(F.collect_set(F.struct("words", "alignments"))), 1, max_samples).alias("s")
-    )
-    pool = {r[speaker]: [(list(x.words), list(x.alignments)) for x in r.s] for r in ranked.orderBy(speaker).limit(max_speakers).collect()}
-    names = sorted(pool)
-    per = min(config.speakers, len(names))
-    if not names:
-        return spark.createDataFrame([], SESSION_SCHEMA)
-    decks = speaker_permutations(names, per, config.sessions, config.seed)
+class OutOfDraws(Exception):
+    """A session wants more samples of a speaker than were drawn for it."""
+
+
+def _handed_out(drawn: list[list[tuple[list[str], list[float]]]]):
+    """The drawn samples of each speaker in turn."""
+    left = [iter(d) for d in drawn]
+
+    def draw(who: int) -> tuple[list[str], list[float]]:
+        for sample in left[who]:
+            return sample
+        raise OutOfDraws
+
+    return draw
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for k in pdf["id"]:
-                rows += build_session(int(k), [(n, pool[n]) for n in decks[int(k)]], config)
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in SESSION_SCHEMA.split(", ")])
 
-    return spark.range(0, config.sessions, 1, spark.sparkContext.defaultParallelism).mapInPandas(run, SESSION_SCHEMA)
+def simulate_sessions(spark: SparkSession, manifest: DataFrame, config: SessionConfig, speaker: str = "speaker_id", draws: int | None = None) -> DataFrame:
+    """Sentences of all sessions, drawn from all samples of all speakers.
+
+    The samples stand numbered speaker by speaker.  The n-th draw of a session
+    from a speaker is a hash of both and n, so numbers are drawn first and only
+    the samples they name are joined and reach a worker.  ``draws`` are made for
+    each speaker of a session at first; sessions that want more are built again
+    with four times as many, with the same result as if all had been made at
+    once.  The driver holds one number per speaker and the decks of the sessions.
+    """
+    # Staged before it is filtered and ranged, so that computed words are computed once.
+    rows = stage(manifest.select(F.col(speaker).cast("string").alias("speaker"), "words", "alignments"), "manifest").where(F.col("speaker").isNotNull() & (F.size("words") > 0))
+    samples = stage(joins.numbered(rows, [F.col("speaker"), F.col("words"), F.col("alignments")], "sample"), "samples")
+    speakers = stage(joins.numbered(samples.groupBy("speaker").agg(F.min("sample").alias("first"), F.count("*").alias("n")), [F.col("speaker")], "who"), "speakers")
+    count = speakers.count()
+    if not count:
+        return spark.createDataFrame([], SESSION_SCHEMA)
+    decks = speaker_permutations(range(count), min(config.speakers, count), config.sessions, config.seed)
+    slots = spark.createDataFrame([(k, slot, int(who)) for k, deck in enumerate(decks) for slot, who in enumerate(deck)], "session long, slot int, who long")
+    pending = slots.join(speakers, "who").select("session", "slot", "speaker", "first", "n")
+    names = [f.split()[0] for f in SESSION_SCHEMA.split(", ")]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        session = int(pdf["session"].iloc[0])
+        pdf = pdf.sort_values(["slot", "draw"])
+        mine = [(who, list(zip(g["words"], g["alignments"]))) for (_, who), g in pdf.groupby(["slot", "speaker"], sort=True)]
+        try:
+            made = build_session(session, mine, config, _handed_out([d for _, d in mine]))
+        except OutOfDraws:
+            made = [(session, *[None] * (len(names) - 1))]
+        return pd.DataFrame(made, columns=names)
+
+    draws, done = draws or 8 + int(config.seconds / 4), []
+    while True:
+        number = F.pmod(F.xxhash64(F.lit(config.seed), "session", "slot", "draw"), F.col("n"))
+        drawn = pending.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).select("session", "slot", "draw", (F.col("first") + number).alias("sample"))
+        built = stage(drawn.join(samples, "sample").groupBy("session").applyInPandas(run, SESSION_SCHEMA), "sessions")
+        done.append(built.where("turn is not null"))
+        short = built.where("turn is null").select("session")
+        if short.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        pending, draws = pending.join(short, "session", "left_semi"), draws * 4
 
 
 def ctm_lines(sessions: DataFrame) -> DataFrame:
