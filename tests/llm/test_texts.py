@@ -182,3 +182,18 @@ def test_mentions_and_placeholders(spark):
         wrong += [p for p, k in spans(i) if k == "name"] != ([] if want is None else [want])
     assert wrong <= 3
     assert pii.sanitise(df.where("false"), d).count() == 0 and pii.count_terms(df.where("false").select(F.col("text"))).count() == 0
+
+
+HAN_NAMES = [a + b for a in "蔺砚筠荞" for b in ("棠", "澜", "渡", "知野", "若初", "云晴")] + ["慕容" + b for b in ("知野", "若初", "云晴", "棠澜")]
+
+
+def test_chinese_names_of_two_to_four_characters(spark):
+    rng, docs = random.Random(8), []
+    for i in range(600):
+        n = rng.choice(HAN_NAMES)
+        docs.append((i, rng.choice([f"我叫{n}。今天开会。", f"谢谢{n}，我们走吧。", f"{n}老师刚才打开了窗户。", f"昨天{n}打开了窗户。", "昨天老师打开了窗户，今天我们开会。"])))
+    docs += [(1000 + i, f"我叫{n}。") for i, n in enumerate(HAN_NAMES)] + [(2000 + i, f"昨天{n}打开了窗户。") for i, n in enumerate(HAN_NAMES)] + [(3000, "我叫蔺棠今天开会。"), (3001, "昨天老师打开了窗户。"), (3002, "昨天老师打开了窗户，今天我们开会。" * 3000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.id: r.clean_text for r in pii.sanitise(df, pii.learn(df)).collect()}
+    assert all(got[1000 + i] == "我叫[NAME]。" and got[2000 + i] == "昨天[NAME]打开了窗户。" for i in range(len(HAN_NAMES)))
+    assert got[3000] == "我叫[NAME]今天开会。" and got[3001] == "昨天老师打开了窗户。"

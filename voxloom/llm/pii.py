@@ -3,8 +3,8 @@
 Method: information-theoretic sanitisation.  One pass over all documents counts
 how often each term stands in a protected context (after a cue such as "my name
 is", a title, "call me on") and how often at all.  Terms are the beginnings,
-endings and whole forms of words, the characters of Chinese names by place, and
-the shapes of numbers and addresses; they are hashed into a fixed number of
+endings and whole forms of words, the characters of Chinese names of two to four
+by place, the lengths of these names, and the shapes of numbers and addresses; they are hashed into a fixed number of
 buckets, so what reaches the driver does not grow.  The pointwise mutual
 information of a term with the protected context tells how many bits it reveals;
 spans whose terms exceed the disclosure threshold are mentions and give way to a
@@ -180,9 +180,13 @@ def structured(text: str) -> list[tuple[int, int, str]]:
 
 # ---------------------------------------------------------------- terms and their counts
 _WORD = re.compile(r"[஀-௿]+|(?:(?![一-鿿㐀-䶿஀-௿])[^\W\d_])+(?:['’](?:(?![一-鿿஀-௿])[^\W\d_])+)?")
-_HAN3 = re.compile(r"(?=([一-鿿]{3}))")
+_HAN2 = re.compile(r"(?=[一-鿿]{2})")
+_HAN_RUN = re.compile(r"[一-鿿]*")
+#: Characters of a Chinese name.
+HAN_LENGTHS = (2, 3, 4)
 _LATIN_CUE = re.compile(r"(?<![\w஀-௿])(?:" + "|".join(re.escape(c) for c in CUES["name"] if not re.match(r"[一-鿿]", c)) + r")\.?\s+(?=[\w஀-௿])", re.I)
-_HAN_CUE = re.compile("(?:" + "|".join(c for c in CUES["name"] if re.match(r"[一-鿿]", c)) + r")(?=([一-鿿]{3}))|(?<![一-鿿])(?=([一-鿿]{3})(?:" + _HAN_TITLES + r")刚)")
+_HAN_BEFORE = re.compile("|".join(c for c in CUES["name"] if re.match(r"[一-鿿]", c)))
+_HAN_AFTER = re.compile(r"(?<![一-鿿])(?=([一-鿿]{2,4}?)(?:" + _HAN_TITLES + r")刚)")
 _LINK = re.compile(r"^(?:bin|binti|a/l|a/p|ibn|van|von)$", re.I)
 _CUE_NEAR = {k: re.compile("|".join(re.escape(c) for c in v), re.I) for k, v in CUES.items()}
 
@@ -226,6 +230,16 @@ def name_slots(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def han_slots(text: str) -> list[tuple[int, int]]:
+    """Places where a cue announces a Chinese name; the end is -1 where more characters follow than a name has."""
+    out = []
+    for m in _HAN_BEFORE.finditer(text):
+        n = _HAN_RUN.match(text, m.end()).end() - m.end()
+        if n >= HAN_LENGTHS[0]:
+            out.append((m.end(), m.end() + n if n <= HAN_LENGTHS[-1] else -1))
+    return out + [m.span(1) for m in _HAN_AFTER.finditer(text)]
+
+
 _NUMBER_CUE = re.compile("|".join(re.escape(c) for k in ("phone", "id") for c in CUES[k]), re.I)
 
 
@@ -259,9 +273,12 @@ class TermCounts:
             if not _LINK.match(w):
                 self.named[w] += 1
         self.chars.update(body)
-        for m in _HAN_CUE.finditer(body):
+        for a, b in han_slots(body):
             hits[-3] += 1
-            for k, c in enumerate(m.group(1) or m.group(2)):
+            if b > 0:
+                hits[_bucket(f"hn{b - a}")] += 1
+            # Where the end is not known, only the characters that any name has.
+            for k, c in enumerate(body[a : b if b > 0 else a + HAN_LENGTHS[0]]):
                 hits[_bucket(f"h{k}{c}")] += 1
 
     def rows(self) -> list[tuple[int, int, int]]:
@@ -307,6 +324,9 @@ class Disclosure:
         self.han_rate = (han[1] + 1) / (3 * han[0] + 2000)
         self._words: dict[str, float] = {}
         self._han: dict[tuple[int, str], float] = {}
+        lengths = {n: int(hits[_bucket(f"hn{n}")]) + 8 for n in HAN_LENGTHS}
+        #: Bits of the length of a Chinese name, none for the most frequent one.
+        self.han_lengths = {n: math.log2(k / max(lengths.values())) for n, k in lengths.items()}
 
     @classmethod
     def of(cls, rows) -> Disclosure:
@@ -354,6 +374,14 @@ class Disclosure:
             hit = self._han[place, c] = math.log2((p + 2.0 * rate) / (n + 2.0) / rate)
         return hit
 
+    def han_name(self, name: str) -> float:
+        """Bits of characters as a whole Chinese name of their number; beside three, given names stand one place earlier or later."""
+        shift = {2: 1, 4: -1}.get(len(name), 0)
+        bits = self.han(0, name[0]) + self.han_lengths[len(name)]
+        for k, c in enumerate(name[1:], 1):
+            bits += max(self.han(k, c), self.han(k + shift, c)) if shift and k + shift > 0 else self.han(k, c)
+        return bits
+
 
 def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
     """Spans of whole names in a text whose other mentions are blanked out."""
@@ -392,18 +420,24 @@ def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
         else:
             k += 1
     best: list[tuple[int, int, float]] = []
-    for m in _HAN3.finditer(body):
-        at, name = m.start(), m.group(1)
-        first = d.han(0, name[0])
-        if first < 4.0:
+    cued = dict(han_slots(body))
+    for m in _HAN2.finditer(body):
+        at = m.start()
+        if d.han(0, body[at]) < 4.0:
             continue
-        total = first + d.han(1, name[1]) + d.han(2, name[2])
+        run, total, end = _HAN_RUN.match(body, at, at + HAN_LENGTHS[-1]).end(), -math.inf, at
+        for n in HAN_LENGTHS:
+            if at + n > run:
+                break
+            bits = d.han_name(body[at : at + n]) + (CUE_BITS if cued.get(at) in (-1, at + n) else 0.0)
+            if bits > total:
+                total, end = bits, at + n
         if total >= NAME_HAN:
             if best and at < best[-1][1]:
                 if total > best[-1][2]:
-                    best[-1] = (at, at + 3, total)
+                    best[-1] = (at, end, total)
             else:
-                best.append((at, at + 3, total))
+                best.append((at, end, total))
     return out + best
 
 
