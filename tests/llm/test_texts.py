@@ -197,3 +197,18 @@ def test_chinese_names_of_two_to_four_characters(spark):
     got = {r.id: r.clean_text for r in pii.sanitise(df, pii.learn(df)).collect()}
     assert all(got[1000 + i] == "我叫[NAME]。" and got[2000 + i] == "昨天[NAME]打开了窗户。" for i in range(len(HAN_NAMES)))
     assert got[3000] == "我叫[NAME]今天开会。" and got[3001] == "昨天老师打开了窗户。"
+
+
+def test_names_of_more_than_two_words(spark):
+    long = ["Quenndon Oaksmere Grayling", "Ashwyn Velmith binti Fennfield", "Velmara Ashrel Oaksling Grayfield"]
+    docs = pii_docs() + [(1000 + i, f"My name is {n}. The boat is here.", "x") for i, n in enumerate(long * 3)] + [(2000 + i, f"Yesterday {n} opened the window.", "x") for i, n in enumerate(long)]
+    tamil = "மதுசுடரன் வேலவூரான் மலைரசூரன்"
+    docs += [(3000 + i, f"என் பெயர் {a} {b}. நன்றி", "x") for i, (a, b) in enumerate([tamil.split()[:2], tamil.split()[1:], tamil.split()[::2]] * 20)] + [(4000, f"நேற்று {tamil} வந்தார்.", "x")]
+    docs += [(5000, "நேற்று அவர் இங்கே வந்தார். நாங்கள் படகை பார்த்தோம். " * 5000, "x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, id string")
+    got = {r.id: r.clean_text for r in pii.sanitise(df, pii.learn(df)).collect()}
+    assert all(got[1000 + i] == "My name is [NAME]. The boat is here." for i in range(9))
+    assert all(got[2000 + i] == "Yesterday [NAME] opened the window." for i in range(3))
+    assert got[4000] == "நேற்று [NAME] வந்தார்."
+    said = "My name is Nur Aisyah binti Hassan and I"
+    assert [said[a:b] for a, b in pii.name_slots(said)] == ["Nur", "Aisyah", "binti", "Hassan"]

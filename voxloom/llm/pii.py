@@ -213,17 +213,25 @@ _INITIAL = re.compile(r"(?<![\w.])[^\W\d_a-z]\.[ ]?$")
 
 
 def name_slots(text: str) -> list[tuple[int, int]]:
-    """Places of the words that stand where a cue announces a name: two, or three around a link."""
+    """Places of the words that stand where a cue announces a name.
+
+    Two words, links between them not counted, and behind them every link and
+    every word with a capital that one blank joins.  Scripts without capitals do
+    not show that a third word is of the name: there only two words are learnt.
+    """
     out = []
     for m in _LATIN_CUE.finditer(text):
         at, n, want = m.end(), 0, 2
-        while n < want:
+        while True:
             initial = n and text[at - 1 : at].isupper() and at - out[-1][0] == 1
             w = (_INITIAL_GAP if initial else _NAME_GAP).match(text, at)
             hit = _WORD.match(text, w.end())
             if not hit or (n and w.end() == at):
                 break
-            if _LINK.match(hit.group()):
+            link = bool(_LINK.match(hit.group()))
+            if n >= want and not (w.group() == " " and (link or len(hit.group()) > 1 and hit.group().istitle())):
+                break
+            if link:
                 want += 1
             out.append(hit.span())
             at, n = hit.end(), n + 1
@@ -396,7 +404,7 @@ def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
             k += 1
             continue
         end, total, n, j = b, bits[k], 1, k + 1
-        while j < len(words) and n < 2:
+        while j < len(words):
             gap = body[words[j - 1][1] : words[j][0]]
             link = bool(_LINK.match(words[j][2]))
             joined = gap == " " or (gap == ", " and n == 1 and j == k + 1 and not link)
@@ -405,7 +413,8 @@ def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
             if link:
                 j += 1
                 continue
-            if bits[j] < NAME_WORD:
+            # Where no capital shows it, a third word must be a name by itself: what follows a name is learnt from cues too.
+            if bits[j] < (NAME_ALONE if n > 1 and "஀" <= words[j][2][0] <= "௿" else NAME_WORD):
                 break
             end, total, n = words[j][1], total + bits[j], n + 1
             j += 1
