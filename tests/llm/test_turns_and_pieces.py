@@ -98,3 +98,34 @@ def test_timestamps_of_every_notation():
     for mark, want in [("(00:01:02.5)", 62.5), ("[9.51s]", 9.51), ("<0:02.3>", 2.3), ("[01:09]", 69.0), ("00:00:01,787", 1.787)]:
         assert abs(speech.timestamp_seconds(mark) - want) < 1e-9
         assert speech.TIMESTAMP.fullmatch(mark)
+
+
+def best_over_all_edges(text, cands, weights):
+    n = len(cands)
+    best, back = [0.0] + [float("-inf")] * n, [0] * (n + 1)
+    for i in range(n):
+        for j in range(i + 1, n + 1):
+            score = best[i] + float(turns._span_features(text, cands, i, j) @ weights)
+            if score > best[j]:
+                best[j], back[j] = score, i
+    path, j = [], n
+    while j > 0:
+        path.append(back[j])
+        j = back[j]
+    return path[::-1], best[n]
+
+
+def path_score(text, cands, path, weights):
+    return sum(float(turns._span_features(text, cands, i, j) @ weights) for i, j in zip(path, [*path[1:], len(cands)]))
+
+
+def test_a_turn_passes_over_any_number_of_mentions():
+    said = " and then ".join(f"they asked speaker {k}: why" for k in range(2, 9))
+    assert [n for _, n, _ in found(f"<Speaker1>: The note says {said}.\n<Speaker2>: Yes.")] == [1, 2]
+    rng = random.Random(5)
+    for text, _ in turns.synthetic_transcripts(["One two three.", "Four.", ""], n=120, seed=3):
+        cands = turns.candidates(text)
+        for weights in (WEIGHTS, *([rng.gauss(0, 2) for _ in WEIGHTS] for _ in range(4))):
+            weights = WEIGHTS * 0 + weights
+            path, score = best_over_all_edges(text, cands, weights)
+            assert abs(path_score(text, cands, turns.decode(text, cands, weights), weights) - score) < 1e-6

@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,8 +37,8 @@ FEATURES = [
     "inside_bracketed", "inside_plain", "inside_mention", "inside_stop", "inside_timestamp", "log_words", "empty",
 ]
 _INDEX = {f: i for i, f in enumerate(FEATURES)}
-#: A turn may swallow at most so many candidates that are no starts of turns.
-MAX_SWALLOWED = 3
+# Features of the candidates that a turn passes over, with those that they add up.
+_INSIDE = (("inside_bracketed", "bracketed"), ("inside_plain", "plain"), ("inside_mention", "mention"), ("inside_stop", "after_stop"), ("inside_timestamp", "timestamp"))
 _GAP = re.compile(r"[\s,，]*\Z")
 
 
@@ -115,21 +116,26 @@ def _span_features(text: str, cands: list[Candidate], i: int, j: int) -> np.ndar
     x = cands[i].x.copy()
     end = cands[j].head if j < len(cands) else len(text)
     inner = cands[i + 1 : j]
-    for name, of in (("inside_bracketed", "bracketed"), ("inside_plain", "plain"), ("inside_mention", "mention"), ("inside_stop", "after_stop"), ("inside_timestamp", "timestamp")):
+    for name, of in _INSIDE:
         x[_INDEX[name]] = sum(c.x[_INDEX[of]] for c in inner)
     n = len(text[cands[i].body : end].split())
     x[_INDEX["log_words"]] = math.log1p(n) / 5
     x[_INDEX["empty"]] = n == 0
+    _pause(x, cands, i)
+    return x
+
+
+def _pause(x: np.ndarray, cands: list[Candidate], i: int) -> None:
+    """Set the features of the time between candidate i and the one before."""
     if i and cands[i].seconds is not None and cands[i - 1].seconds is not None:
         gap = cands[i].seconds - cands[i - 1].seconds
         x[_INDEX["pause_long"]] = gap > 5
         x[_INDEX["time_back"]] = gap < 0
-    return x
 
 
 def _lattice(text: str, cands: list[Candidate]) -> list[tuple[int, int, np.ndarray]]:
     n = len(cands)
-    return [(i, j, _span_features(text, cands, i, j)) for i in range(n) for j in range(i + 1, min(n, i + 1 + MAX_SWALLOWED) + 1)]
+    return [(i, j, _span_features(text, cands, i, j)) for i in range(n) for j in range(i + 1, n + 1)]
 
 
 def decode(text: str, cands: list[Candidate], weights: np.ndarray) -> list[int]:
@@ -137,13 +143,49 @@ def decode(text: str, cands: list[Candidate], weights: np.ndarray) -> list[int]:
     n = len(cands)
     if n == 1:
         return [0]
-    best = [-math.inf] * (n + 1)
-    back = [0] * (n + 1)
-    best[0] = 0.0
-    for i, j, x in _lattice(text, cands):  # ordered by i, so best[i] is final
-        s = best[i] + float(x @ weights)
-        if s > best[j]:
-            best[j], back[j] = s, i
+    heads, passed = [], [0.0]
+    inside = np.zeros(len(FEATURES))
+    for name, of in _INSIDE:
+        inside[_INDEX[of]] += weights[_INDEX[name]]
+    for i, c in enumerate(cands):
+        x = c.x.copy()
+        _pause(x, cands, i)
+        heads.append(float(x @ weights))
+        passed.append(passed[-1] + float(c.x @ inside))
+    words = [m.span() for m in re.finditer(r"\S+", text)]
+    starts, ends = [a for a, _ in words], [b for _, b in words]
+    stop = [c.head for c in cands] + [len(text)]
+    upto, since = [bisect_left(starts, p) for p in stop], [bisect_right(ends, c.body) for c in cands]
+    per_log, per_empty = float(weights[_INDEX["log_words"]]) / 5, float(weights[_INDEX["empty"]])
+
+    def log(k: int) -> float:
+        return per_log * math.log1p(k)
+
+    def count(i: int, j: int) -> int:
+        return max(0, upto[j] - since[i]) if stop[j] > cands[i].body else 0
+
+    def length(i: int, j: int) -> float:
+        k = count(i, j)
+        return log(k) if k else per_empty
+
+    # A turn from i to j scores base(i) + passed[j] + length(i, j), and only the last part depends on both.  Of two starts
+    # whose turns differ by d words the lengths draw nearer with every j, so a start that another one beats by more than
+    # the widest difference to come is left out: the result is exact, and long texts stay about linear.
+    back, live, best = [0] * (n + 1), [], 0.0
+    for j in range(1, n + 1):
+        base, k = best + heads[j - 1] - passed[j], count(j - 1, j)
+        kept, useless = [], False
+        for i, b in live:
+            d, k1 = since[j - 1] - since[i], max(k, 1)
+            gap, some = log(k1 + d) - log(k1), log(d + 1)
+            if not (base > b + max(0.0, gap) and (k or base + per_empty > b + max(0.0, per_empty, some))):
+                kept.append((i, b))
+            useless = useless or b + min(0.0, gap) >= base and (k > 0 or b + min(0.0, per_empty, some) >= base + per_empty)
+        live = kept if useless else [*kept, (j - 1, base)]
+        best, back[j] = -math.inf, j - 1
+        for i, b in live:
+            if b + passed[j] + length(i, j) > best:
+                best, back[j] = b + passed[j] + length(i, j), i
     path, j = [], n
     while j > 0:
         path.append(back[j])
