@@ -48,3 +48,11 @@ def test_entry_works_without_the_subpackage():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and "p2_found" in entry.queries()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_language_labels_of_all_rows(spark):
+    from voxloom.plans import core
+
+    got = core.queries()["labelled_languages"](spark, SF)
+    assert got.count() == spark.read.parquet(f"{SF}/feature_rows.parquet").count() and got.where("supported is null").count() == 0

@@ -359,6 +359,21 @@ def supported_languages(spark, sf):
     return rows.select("row_id", name.alias("name"), T.is_supported_language(F.col("language")).alias("supported"))
 
 
+@query(r"""
+  WITH l AS (SELECT row_id, trim(regexp_replace(coalesce(language, ''), '^\s+|\s+$', '', 'g')) AS label FROM feature_rows),
+  n AS (SELECT row_id, lower(label) AS low, CASE WHEN label <> '' THEN concat(upper(left(label, 1)), lower(substr(label, 2))) END AS title FROM l)
+  SELECT row_id, CASE WHEN low IN ('en', 'english') THEN 'English' WHEN low IN ('zh', 'chinese') THEN 'Chinese' ELSE title END AS name,
+         coalesce(title IN ('Chinese', 'English', 'Cantonese', 'Arabic', 'German', 'French', 'Spanish', 'Portuguese', 'Indonesian', 'Italian',
+           'Korean', 'Russian', 'Thai', 'Vietnamese', 'Japanese', 'Turkish', 'Hindi', 'Malay', 'Dutch', 'Swedish', 'Danish', 'Finnish', 'Polish',
+           'Czech', 'Filipino', 'Persian', 'Greek', 'Romanian', 'Hungarian', 'Macedonian'), false) AS supported FROM n""")
+def labelled_languages(spark, sf):
+    """Name and support of the label of every row; a null or blank label has no name and is not supported."""
+    title = T.language_name(F.col("language"))
+    low = F.lower(title)
+    name = F.when(low.isin("en", "english"), "English").when(low.isin("zh", "chinese"), "Chinese").otherwise(title)
+    return read_table(spark, sf, "feature_rows").select("row_id", name.alias("name"), T.is_supported_language(F.col("language")).alias("supported"))
+
+
 @query("SELECT row_id, coalesce(nullif(audio_id, ''), nullif(config_key, ''), '') AS id, concat('clip_', idx) AS clip, replace(config_key, '_', '') AS bare FROM feature_rows")
 def row_ids(spark, sf):
     """First id that is there, generated ids, and ids without a prefix."""
