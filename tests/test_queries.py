@@ -56,3 +56,12 @@ def test_language_labels_of_all_rows(spark):
 
     got = core.queries()["labelled_languages"](spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/feature_rows.parquet").count() and got.where("supported is null").count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_upsert_of_the_whole_table(spark):
+    from voxloom.plans import core
+
+    rows = spark.read.parquet(f"{SF}/transcript_rows.parquet")
+    got = core.queries()["redelivered_results"](spark, SF)
+    assert got.select("k").distinct().count() == rows.select("config_key", "idx").distinct().count()

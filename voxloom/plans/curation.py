@@ -152,6 +152,19 @@ def upserted_results(spark, sf):
     return joins.upsert(rows.where("tr_id % 3 <> 0"), rows.where("tr_id % 2 = 0").withColumn("duration_sec", F.lit(-1.0)), "tr_id")
 
 
+@query(r"""
+  WITH old AS (SELECT tr_id, concat(coalesce(config_key, ''), '/', coalesce(idx::VARCHAR, '')) AS k, duration_sec,
+                      coalesce(error, '') = '' AND coalesce(transcription, '') <> '' AS done FROM transcript_rows),
+       new AS (SELECT tr_id, k, duration_sec FROM old WHERE done QUALIFY row_number() OVER (PARTITION BY k ORDER BY tr_id DESC) = 1)
+  SELECT tr_id, k, duration_sec FROM old WHERE k NOT IN (SELECT k FROM new) UNION ALL SELECT tr_id, k, duration_sec FROM new""")
+def redelivered_results(spark, sf):
+    """The whole table, where the last delivery with a result replaces all rows of its set and number; keys without a result stay."""
+    key = F.concat(F.coalesce("config_key", F.lit("")), F.lit("/"), F.coalesce(F.col("idx").cast("string"), F.lit("")))
+    rows = read_table(spark, sf, "transcript_rows").withColumn("k", key)
+    last = rows.where(~T.failed_transcript(F.col("transcription"), F.col("error"))).groupBy("k").agg(F.max_by(F.struct("tr_id", "duration_sec"), "tr_id").alias("r"))
+    return joins.upsert(rows.select("tr_id", "k", "duration_sec"), last.select("k", "r.tr_id", "r.duration_sec"), "k")
+
+
 @query(r"""
   SELECT tr_id, coalesce(array_to_string(list_filter(chunk_transcriptions, lambda x: x IS NOT NULL AND x <> ''), ' '), NULL) AS merged,
          array_to_string(list_filter(chunk_transcriptions, lambda x: x IS NOT NULL AND x <> ''), '') AS joined FROM transcript_rows""")
