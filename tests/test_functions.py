@@ -105,3 +105,10 @@ def test_spans(spark):
     assert [[tuple(y) for y in x] for x in values(spark, S.value_chunks(F.col("x"), 10), [[1, 5, 12, 13, 31], []], "x array<int>")] == [[(0, 2), (2, 4), (4, 5)], []]
     assert values(spark, S.mask_positions(F.col("x")), [[0, 1, 1]], "x array<int>") == [[1, 0, 1]]
     assert values(spark, S.pair_timestamps(F.col("x"), F.array(F.lit(100), F.lit(250))), [["a", "b"]], "x array<string>")[0][0].end_time == 0.25
+
+
+def test_verdicts_of_deeply_nested_answers(spark):
+    deep = '{"a": ' * 12 + "[[[[[[1]]]]]]" + "}" * 12
+    rows = [(1, '{"Verdict":  "keep", "x": ' + deep + "}"), (2, '{"Verdict":  "keep", "x": ' + deep + '} {"y": 1}'), (3, '{"Verdict":  "keep", "x": "}{"}'), (4, '{"Verdict":  "keep"}}')]
+    df = spark.createDataFrame(rows, "id int, raw string").select("id", V.analysis_verdict(F.col("raw")).alias("v"))
+    assert {r.id: r.v for r in df.collect()} == {1: "KEEP", 2: "UNKNOWN", 3: "KEEP", 4: "UNKNOWN"}

@@ -26,14 +26,17 @@ def json_body(raw: Column, repair: bool = False) -> Column:
 def single_object(body: Column) -> Column:
     """True for one JSON object with nothing behind it.
 
-    The JVM's parser ends at the first object's brace.  Strings, then inner
-    objects and arrays are taken out; what remains must be one pair of braces.
+    The JVM's parser ends at the first object's brace.  Strings are taken out;
+    the brackets that remain must close to depth 0 once, at the closing brace.
     """
     # Escapes go first, so that a string is a run without quotes, which the JVM matches without recursion.
     flat = F.regexp_replace(F.regexp_replace(body, r"(?s)\\.", ""), r'"[^"]*+"', "0")
-    for _ in range(4):
-        flat = F.regexp_replace(flat, r"(?<=[\[{:,\s])\{[^{}]*\}|\[[^\[\]{}]*\]", "0")
-    return flat.rlike(r"^\s*\{[^{}]*\}\s*$")
+    marks = F.split(F.regexp_replace(flat, r"[^{}\[\]]", ""), "")
+    step = lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("closed"))
+    after = lambda s, c: F.struct((s["depth"] + step(c)).alias("depth"), (s["closed"] + F.when((c != "") & (s["depth"] + step(c) == 0), 1).otherwise(0)).alias("closed"))
+    end = F.aggregate(marks, start, after)
+    return flat.rlike(r"^\s*\{") & flat.rlike(r"\}\s*$") & (end["depth"] == 0) & (end["closed"] == 1)
 
 
 def json_field(raw: Column, field: str, repair: bool = False) -> Column:
