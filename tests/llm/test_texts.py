@@ -3,7 +3,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from voxloom.llm import kinds, lang, lm, pii, quality, repetition, truncation
 
@@ -181,7 +180,46 @@ def test_mentions_and_placeholders(spark):
         want = next((text.index(f"{a} {b}") for a, b in NAMES if f"{a} {b}" in text), None)
         wrong += [p for p, k in spans(i) if k == "name"] != ([] if want is None else [want])
     assert wrong <= 3
-    assert pii.sanitise(df.where("false"), d).count() == 0 and pii.count_terms(df.where("false").select(F.col("text"))).count() == 0
+    assert pii.sanitise(df.where("false"), d).count() == 0 and pii.learn(df.where("false")).tokens == 0
+
+
+def test_forms_without_counts_are_no_mentions():
+    text = "Call me on +60100949589, write to a.b@mail.test, My name is Ashwyn Oaksling, 我叫蔺棠。 IC number 760612-70-7812. I live at 203 Saltgrass Road."
+    assert len(pii.structured(text)) == 4 and pii.mentions(text, pii.Disclosure.of([])) == []
+
+
+def test_phones_with_mixed_separators_and_names_of_three_words(spark):
+    docs = [(i, f"me llamo {a} {b} {c}. Llámeme al 012-34{i % 10} 67{i % 7}9.") for i, (a, b, c) in enumerate([("Maria", "Elena", "Lopez"), ("Mario", "Elias", "Lopera"), ("Marina", "Elena", "Lozano")] * 30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.clean_text for r in pii.sanitise(df, pii.learn(df)).collect()} == {"me llamo [NAME]. Llámeme al [PHONE]."}
+
+
+def test_a_form_that_never_stands_near_a_cue_is_no_mention(spark):
+    docs = [(i, f"Write to u{i}@mail.test now. The boat is here.") for i in range(60)] + [(100 + i, f"Meet me at the dot on map {i} again.") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.id: [x.kind for x in r.mentions] for r in pii.sanitise(df, pii.learn(df)).collect()}
+    assert all(got[i] == ["email"] for i in range(60)) and all(got[100 + i] == [] for i in range(60))
+
+
+def test_terms_that_disclose_an_entity_are_generalised(spark):
+    docs = pii_docs() + [(1000 + i, f"My name is Quenndon Oaksmere. They call me stormpetrel on day {i}.", "x") for i in range(6)] + [(2000 + i, f"They call me here on day {i}. The boat is mine.", "x") for i in range(60)]
+    docs += [(3000 + i, "My name is Velmara Grayling. The thundermole is mine.", "x") for i in range(6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, id string")
+    seen = pii.observed(df)
+    d = pii.learned(seen)
+    got = {r.id: r for r in pii.generalised(pii.sanitised(seen, d), d).collect()}
+    assert all(got[1000 + i].clean_text == f"My name is [NAME]. They call me [TERM] on day {i}." and got[1000 + i].n_terms == 1 for i in range(6))
+    # Copies of one text bear a term out once.
+    assert got[3000].clean_text == "My name is [NAME]. The thundermole is mine." and got[2000].n_terms == 0 and len(got) == len(docs)
+
+
+def test_numbers_and_cues_of_a_long_text_are_linear():
+    import time
+
+    text, began = "tel 1234567 x " * 100_000, time.time()
+    counts = pii.TermCounts()
+    counts.add(text, pii.structured(text))
+    assert time.time() - began < 30
 
 
 HAN_NAMES = [a + b for a in "蔺砚筠荞" for b in ("棠", "澜", "渡", "知野", "若初", "云晴")] + ["慕容" + b for b in ("知野", "若初", "云晴", "棠澜")]

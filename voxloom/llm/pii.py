@@ -1,20 +1,27 @@
 """Problem 10: personal information inside free text.
 
-Method: information-theoretic sanitisation.  One pass over all documents counts
-how often each term stands in a protected context (after a cue such as "my name
-is", a title, "call me on") and how often at all.  Terms are the beginnings,
-endings and whole forms of words, the characters of Chinese names of two to four
-by place, the lengths of these names, and the shapes of numbers and addresses; they are hashed into a fixed number of
-buckets, so what reaches the driver does not grow.  The pointwise mutual
-information of a term with the protected context tells how many bits it reveals;
-spans whose terms exceed the disclosure threshold are mentions and give way to a
-typed placeholder.
+Method: information-theoretic sanitisation.  One pass over all documents takes
+the candidates (spans in the form of an email, a number or an address, and all
+words and Chinese characters) and counts for each term how often it stands in a
+protected context, near a cue such as "my name is" or "email", and how often at
+all.  Terms of a form are its kind, its shape and its parts; terms of a name are the beginnings, endings and whole forms of words, and the
+characters of Chinese names of two to four by place.  They are hashed into a fixed number
+of buckets, so what reaches the driver does not grow.  The pointwise mutual
+information of a term with the protected context tells how many bits it reveals.
+A candidate whose terms exceed the disclosure threshold is a mention and gives
+way to a typed placeholder; a form brings no bits of its own, so a corpus in
+which nothing stands near a cue has no mention.
+
+Other terms are then held against the entities found: where a term of the same
+documents tells an entity nearly as surely as its name does, it is generalised
+to ``[TERM]`` in that entity's documents (``revealing_terms``).
 
 Null and empty texts have no mention and stay as they are.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -26,15 +33,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.session import spread
-
-BITS = 18
-#: Bits that the terms of a mention must reveal: a number or address; a word of a name; a single word; a Chinese name.
-THRESHOLD, NAME_WORD, NAME_ALONE, NAME_HAN = 3.0, 1.5, 4.5, 12.0
-#: Bits that a valid form is worth by itself, and that a cue next to a name is worth.
-FORM_BITS, CUE_BITS = 6.0, 3.0
+from voxloom.session import spread, stage
+
+#: Buckets of the terms of names and of forms, as powers of two.
+BITS, FORM_BITS = 18, 16
+#: Share of the information of a protected context from which on a form is a mention.
+THRESHOLD = 0.63
+#: Bits from which on a word is of a name, a single word is a name, and a Chinese name is one.
+NAME_WORD, NAME_ALONE, NAME_HAN = 1.5, 4.5, 12.0
+#: Most bits that a cue next to a name is worth; a cue alone never makes a mention.
+CUE_BITS = 3.0
+#: Characters before a form within which a cue protects it, and words that they hold.
+REACH, REACH_WORDS = 28, 5
+#: Occurrences that a term is taken to have had at the rate of its kind, and a kind at the rate of all places.
+PRIOR = 4.0
+#: Share of an entity's own information from which on a term discloses it, and the different texts that must bear it out.
+DISCLOSING, SUPPORT = 0.9, 3
 
 _WIDE = str.maketrans("０１２３４５６７８９＋（）－．＠", "0123456789+()-.@")
+_HAS_WIDE = re.compile("[０-９＋（）－．＠]")
 
 # Words of digits, by language.
 _SPOKEN = {
@@ -45,19 +62,17 @@ _SPOKEN = {
 }
 _HAN_DIGITS = "零〇一二三四五六七八九幺"
 
-# Words before or after a mention of each kind.
+# Words that announce a mention of each kind.
 CUES = {
     "name": [
-        "my name is", "i am called", "uploaded by", "please thank", "spoke with", "mr", "mrs", "ms", "dr", "prof",
-        "nama saya", "encik", "puan", "terima kasih kepada", "me llamo", "mi nombre es", "señora", "señor", "sra.", "sr.", "gracias a",
-        "என் பெயர்", "திரு", "திருமதி", "我叫", "的人是", "谢谢", "我是",
+        "my name is", "i am called", "mr", "mrs", "ms", "dr", "prof", "nama saya", "encik", "puan", "me llamo", "mi nombre es",
+        "señora", "señor", "sra.", "sr.", "என் பெயர்", "திரு", "திருமதி", "我叫", "我是", "我的名字是",
     ],
-    "phone": ["call me", "tel", "hotline", "whatsapp", "phone", "telefon", "talian", "hubungi", "llámeme", "número", "தொலைபேசி", "அழைக்க", "电话", "热线", "手机", "☎"],
-    "id": ["ic number", "identity card", "form shows id", "passport", "kad pengenalan", "kp", "documento", "carné", "pasaporte", "அடையாள அட்டை", "身份证", "证件", "护照", "#"],
-    "email": ["write to", "forward it", "reach me", "contact", "email", "e-mail", "emel", "hubungi", "hantar ke", "correo", "escriba", "மின்னஞ்சல்", "邮箱", "邮件", "->"],
-    "address": ["live at", "send the prize", "deliver", "alamat", "tinggal di", "hantar", "vivo en", "envíe", "முகவரி", "பரிசை", "住在", "寄到", "地址", "📍"],
+    "phone": ["call me", "tel", "hotline", "whatsapp", "phone", "telefon", "talian", "hubungi", "llámeme", "teléfono", "número", "தொலைபேசி", "அழைக்க", "电话", "热线", "手机"],
+    "id": ["ic number", "identity card", "passport", "kad pengenalan", "kp", "documento", "carné", "pasaporte", "அடையாள அட்டை", "身份证", "证件", "护照"],
+    "email": ["write to", "reach me", "contact", "email", "e-mail", "mail", "emel", "correo", "escriba", "மின்னஞ்சல்", "邮箱", "邮件"],
+    "address": ["live at", "lives at", "address", "alamat", "tinggal di", "vivo en", "dirección", "முகவரி", "住在", "地址"],
 }
-_HAN_TITLES = "老师|先生|女士|小姐|医生|经理"
 
 # ---------------------------------------------------------------- forms of emails, numbers and addresses
 _AT = r"(?:\s?@\s?|\s?[\[(]\s?at\s?[\])]\s?|\s+(?:at|arroba)\s+)"
@@ -73,7 +88,7 @@ _END = r"(?![A-Za-z0-9_]|[.\-/,]\d)"
 _PHONES = [
     re.compile(r"(?<![\d+])\+\d{1,3}(?:[ .\-]?\(?\d{1,4}\)?){2,5}(?!\d|[.\-]\d)"),
     re.compile(r"(?<!\d)\(\+?\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d|[.\-]\d)"),
-    re.compile(_CLEAR + r"0\d{1,3}([ .\-])\d{3,4}\1\d{3,4}" + _END),
+    re.compile(_CLEAR + r"0\d{1,3}[ .\-]\d{3,4}[ .\-]\d{3,4}" + _END),
     re.compile(_CLEAR + r"0\d{1,2}-\d{6,8}(?: \d{4})?" + _END),
     re.compile(_CLEAR + r"0\d{8,10}" + _END),
     re.compile(_CLEAR + r"\d{3}-\d{4}" + _END),
@@ -88,7 +103,6 @@ _IDS = [
     re.compile(_CLEAR + r"\d{3}-\d{2}-\d{4}" + _END),
     re.compile(r"(?<![A-Za-z0-9])[A-Z]\d{8}" + _END),
 ]
-_NUMBERISH = re.compile(r"\d[\d .\-/]*\d|\d")
 # Words for streets.
 _EN_STREET = r"(?:Street|Road|Avenue|Ave\.?|Lane|Close|Drive|Crescent|Court|Way|Terrace|Boulevard|Blvd\.?|St\.|Rd\.|Ln\.|Dr\.)"
 _MS_STREET = r"(?:Jalan|Jln\.?|Lorong|Lrg\.?|Persiaran|Lebuhraya|Lebuh|Pangsapuri|Kampung|Kg\.?|Kondominium|Flat)"
@@ -139,15 +153,31 @@ def _born(six: str) -> bool:
 
 
 def shape(kind: str, span: str) -> str:
-    """Class of a span: its digits as 9, runs of letters as a."""
+    """Class of a span: its digits as 9, runs of letters as a; of emails and addresses the marks between words."""
     if kind in ("email", "address"):
-        return kind + ":" + re.sub(r"[\w஀-௿]+", "", span)[:6]
-    return kind + ":" + re.sub(r"[^\W\d]+", "a", re.sub(r"\d", "9", span))[:24]
+        return kind + ":" + re.sub(r"[\w஀-௿]+", "", span)
+    return kind + ":" + re.sub(r"[^\W\d]+", "a", re.sub(r"\d", "9", span))
+
+
+_PART = re.compile(r"[^\W\d_]+[஀-௿]*|\d+")
+
+def form_terms(kind: str, span: str) -> list[str]:
+    """Terms of a form, its kind first: shape, and the parts that tell it."""
+    parts = [x.lower() for x in _PART.findall(span)]
+    if kind == "email":
+        own = [f"t{parts[-1]}", f"d{parts[-2]}", f"l{parts[0]}"] if len(parts) > 2 else parts
+    elif kind == "phone":
+        own = [f"p{parts[0]}"]
+    elif kind == "address":
+        own = [x for x in parts if not x.isdigit()]
+    else:
+        own = []
+    return [kind, shape(kind, span), *[f"{kind}:{x}" for x in own]]
 
 
 def structured(text: str) -> list[tuple[int, int, str]]:
     """Spans of the forms of emails, addresses, ids and phones, none overlapping."""
-    t = text if text.isascii() else text.translate(_WIDE)
+    t = text.translate(_WIDE) if _HAS_WIDE.search(text) else text
     found: list[tuple[int, int, str]] = []
     taken = bytearray(len(t))
 
@@ -186,15 +216,30 @@ _HAN_RUN = re.compile(r"[一-鿿]*")
 HAN_LENGTHS = (2, 3, 4)
 _LATIN_CUE = re.compile(r"(?<![\w஀-௿])(?:" + "|".join(re.escape(c) for c in CUES["name"] if not re.match(r"[一-鿿]", c)) + r")\.?\s+(?=[\w஀-௿])", re.I)
 _HAN_BEFORE = re.compile("|".join(c for c in CUES["name"] if re.match(r"[一-鿿]", c)))
-_HAN_AFTER = re.compile(r"(?<![一-鿿])(?=([一-鿿]{2,4}?)(?:" + _HAN_TITLES + r")刚)")
 _LINK = re.compile(r"^(?:bin|binti|a/l|a/p|ibn|van|von)$", re.I)
-_CUE_NEAR = {k: re.compile("|".join(re.escape(c) for c in v), re.I) for k, v in CUES.items()}
+def _announces(words: list[str]) -> re.Pattern:
+    """Any of the cues; one in Latin letters is no part of a longer word's middle or end."""
+    return re.compile("|".join((r"(?<![^\W\d_])" if c.isascii() else "") + re.escape(c) for c in words), re.I)
+
+
+#: Cues of one Latin word, counted among the words, and the others, counted in the text.
+_SINGLE = [[c for c in v if c.isascii() and c.isalpha()] for k, v in CUES.items() if k != "name"]
+_PHRASES = [[c for c in v if not (c.isascii() and c.isalpha())] for k, v in CUES.items() if k != "name"]
+_CUE_NEAR = {k: _announces(v) for k, v in CUES.items() if k != "name"}
+
+
+_PLACEHOLDER = re.compile(r"\[(?:NAME|EMAIL|PHONE|ID|ADDRESS)\]")
 
 
 def _bucket(term: str) -> int:
     return zlib.crc32(term.encode("utf-8", "replace")) & ((1 << BITS) - 1)
 
 
+def _form_bucket(term: str) -> int:
+    """Forms have few terms, and buckets of their own."""
+    return (1 << BITS) + (zlib.crc32(term.encode("utf-8", "replace")) & ((1 << FORM_BITS) - 1))
+
+
 def word_terms(word: str) -> list[str]:
     """Terms of a word: beginnings and endings of three and four letters, and the whole."""
     w = word.lower()
@@ -203,9 +248,11 @@ def word_terms(word: str) -> list[str]:
 
 def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
     """The text with spans blanked out, places kept."""
+    out, at = [], 0
     for a, b, _ in spans:
-        text = text[:a] + "\x00" * (b - a) + text[b:]
-    return text
+        out += [text[at:a], "\x00" * (b - a)]
+        at = b
+    return "".join([*out, text[at:]]) if out else text
 
 
 _NAME_GAP, _INITIAL_GAP = re.compile(r"[ ]?,?[ ]?"), re.compile(r"\.[ ]?")
@@ -245,10 +292,7 @@ def han_slots(text: str) -> list[tuple[int, int]]:
         n = _HAN_RUN.match(text, m.end()).end() - m.end()
         if n >= HAN_LENGTHS[0]:
             out.append((m.end(), m.end() + n if n <= HAN_LENGTHS[-1] else -1))
-    return out + [m.span(1) for m in _HAN_AFTER.finditer(text)]
-
-
-_NUMBER_CUE = re.compile("|".join(re.escape(c) for k in ("phone", "id") for c in CUES[k]), re.I)
+    return out
 
 
 class TermCounts:
@@ -261,20 +305,17 @@ class TermCounts:
         self.named: Counter = Counter()
         self.chars: Counter = Counter()
 
-    def add(self, text: str) -> None:
+    def add(self, text: str, spans: list[tuple[int, int, str]]) -> None:
         counts, hits = self.counts, self.hits
-        spans = structured(text)
         for a, b, kind in spans:
-            term = _bucket(shape(kind, text[a:b].translate(_WIDE)))
-            counts[term] += 1
-            hits[term] += bool(_CUE_NEAR[kind].search(text[max(0, a - 28) : a]))
+            cued = bool(_CUE_NEAR[kind].search(text[max(0, a - REACH) : a]))
+            for term in map(_form_bucket, form_terms(kind, text[a:b].translate(_WIDE))):
+                counts[term] += 1
+                hits[term] += cued
+        low = text.lower()
+        for k, phrases in enumerate(_PHRASES):
+            hits[-4 - k] += sum(map(low.count, phrases))
         body = masked(text, spans)
-        # Numbers that lie within reach of a cue.
-        numbers = [m.start() for m in _NUMBERISH.finditer(body)]
-        counts[-1] += len(numbers)
-        if numbers:
-            cued = [m.end() for m in _NUMBER_CUE.finditer(body)]
-            hits[-1] += sum(any(n - 28 <= c <= n for c in cued) for n in numbers) if cued else 0
         self.words.update(_WORD.findall(body.lower()))
         for a, b in name_slots(body):
             w = body[a:b].lower()
@@ -296,6 +337,10 @@ class TermCounts:
             if "一" <= c <= "鿿":
                 counts[-3] += n
                 counts[_bucket(f"h{c}")] += n
+            elif c.isdigit():
+                counts[-1] += n
+        for k, single in enumerate(_SINGLE):
+            hits[-4 - k] += sum(self.words[w] for w in single)
         for w, n in self.words.items():
             named = self.named.get(w, 0)
             counts[-2] += n
@@ -307,29 +352,51 @@ class TermCounts:
         return [(t, counts[t], hits[t]) for t in sorted(set(counts) | set(hits))]
 
 
-def count_terms(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``term, n, n_protected`` over all documents; added up in each batch before the shuffle."""
+OBSERVED = "id long, text string, spans array<struct<pos:long,end:long,kind:string>>, terms array<struct<term:int,n:long,p:long>>"
+
+
+def observed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every document with the spans of its forms, and among them rows without an id that hold the counts of a batch.
+
+    Staged: forms are looked for once, and the counts are added up before a shuffle.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            seen = TermCounts()
+            seen, spans = TermCounts(), []
             for text in pdf["text"]:
+                found = structured(text) if text else []
+                spans.append([{"pos": a, "end": b, "kind": k} for a, b, k in found])
                 if text:
-                    seen.add(text)
-            yield pd.DataFrame(seen.rows(), columns=["term", "n", "n_protected"])
+                    seen.add(text, found)
+            yield pd.DataFrame({"id": pdf["id"], "text": pdf["text"], "spans": spans, "terms": None})
+            terms = [{"term": t, "n": n, "p": p} for t, n, p in seen.rows()]
+            yield pd.DataFrame({"id": [None], "text": [None], "spans": [None], "terms": [terms]}).astype({"id": "Int64"})
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return stage(spread(src, "id").mapInPandas(run, OBSERVED), "forms")
+
 
-    src = df.select(F.col(text_col).alias("text"))
-    return src.mapInPandas(run, "term int, n long, n_protected long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_protected").alias("n_protected"))
+def count_terms(seen: DataFrame) -> DataFrame:
+    """``term, n, n_protected`` over all documents of ``observed``."""
+    rows = seen.where("terms is not null").select(F.explode("terms").alias("t"))
+    return rows.groupBy("t.term").agg(F.sum("t.n").alias("n"), F.sum("t.p").alias("n_protected"))
 
 
 class Disclosure:
     """Bits that terms reveal, by pointwise mutual information with the protected context."""
 
-    def __init__(self, counts: np.ndarray, hits: np.ndarray, numbers: tuple[int, int], words: tuple[int, int], han: tuple[int, int]):
+    def __init__(self, counts: np.ndarray, hits: np.ndarray, totals: dict[int, tuple[int, int]]):
         self.counts, self.hits = counts, hits
-        self.number_rate = (numbers[1] + 1) / (numbers[0] + 20)
+        digits, words, han = (totals.get(k, (0, 0)) for k in (-1, -2, -3))
+        self.tokens = digits[0] // 3 + words[0] + han[0] // 2
+        #: Share of all places that lie near a cue, by kind.
+        self.rates = {kind: (REACH_WORDS * totals.get(-4 - k, (0, 0))[1] + 1) / (self.tokens + 1000) for k, kind in enumerate(_CUE_NEAR)}
         self.word_rate = (words[1] + 1) / (words[0] + 200)
         self.han_rate = (han[1] + 1) / (3 * han[0] + 2000)
+        #: Bits of a place behind a cue: the information of the protected context, none where no cue was seen.
+        self.word_cue = min(CUE_BITS, -math.log2(self.word_rate)) if words[1] else 0.0
+        self.han_cue = min(CUE_BITS, -math.log2(self.han_rate)) if han[1] else 0.0
         self._words: dict[str, float] = {}
         self._han: dict[tuple[int, str], float] = {}
         lengths = {n: int(hits[_bucket(f"hn{n}")]) + 8 for n in HAN_LENGTHS}
@@ -338,22 +405,35 @@ class Disclosure:
 
     @classmethod
     def of(cls, rows) -> Disclosure:
-        counts, hits = np.zeros(1 << BITS, dtype=np.int64), np.zeros(1 << BITS, dtype=np.int64)
-        totals = {-1: (0, 0), -2: (0, 0), -3: (0, 0)}
+        counts, hits = np.zeros((1 << BITS) + (1 << FORM_BITS), dtype=np.int64), np.zeros((1 << BITS) + (1 << FORM_BITS), dtype=np.int64)
+        totals = {}
         for term, n, p in rows:
             if term < 0:
                 totals[term] = (n, p)
             else:
                 counts[term], hits[term] = n, p
-        return cls(counts, hits, totals[-1], totals[-2], totals[-3])
+        return cls(counts, hits, totals)
 
     def _bits(self, term: str, rate: float, weight: float) -> float:
         k = _bucket(term)
         return math.log2((self.hits[k] + weight * rate) / (self.counts[k] + weight) / rate)
 
     def form(self, kind: str, span: str) -> float:
-        """Bits of a span of a valid form; a shape that hardly ever has a cue loses them."""
-        return FORM_BITS + max(-5.0, min(4.0, self._bits(shape(kind, span), self.number_rate, 4.0)))
+        """Bits of a span in a form: the mean over its terms, each drawn to the rate of its kind where it is rare."""
+        rate = p = self.rates[kind]
+        bits = []
+        for term in form_terms(kind, span.translate(_WIDE)):
+            k = _form_bucket(term)
+            share = (self.hits[k] + PRIOR * p) / (self.counts[k] + PRIOR)
+            if term == kind:
+                p = share
+            else:
+                bits.append(math.log2(share / rate))
+        return sum(bits) / len(bits)
+
+    def discloses(self, kind: str, bits: float) -> bool:
+        """Whether a form's bits are so large a share of what the protected context itself tells."""
+        return bits >= THRESHOLD * -math.log2(self.rates[kind])
 
     def word(self, word: str) -> float:
         """Bits of a word as part of a name: its beginning and ending, held down by the whole word where that is common."""
@@ -367,6 +447,8 @@ class Disclosure:
     def _word(self, word: str) -> float:
         if len(word) < 2:
             return -8.0
+        if _LINK.match(word):
+            return 0.0
         b3, b4, e3, e4, whole = (self._bits(t, self.word_rate, 2.0) for t in word_terms(word))
         bits = (b3 + b4 + e3 + e4) / 4
         if self.counts[_bucket("w" + word.lower())] >= 12:
@@ -395,13 +477,14 @@ def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
     """Spans of whole names in a text whose other mentions are blanked out."""
     out: list[tuple[int, int, float]] = []
     slots = {a for a, _ in name_slots(body)}
-    words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(body)]
-    bits = [0.0 if _LINK.match(w) else d.word(w) + (CUE_BITS if a in slots else 0.0) for a, _, w in words]
-    k = 0
-    while k < len(words):
+    # Most texts have no word that could be of a name.
+    telling = slots or any(d.word(w) >= NAME_WORD for w in set(_WORD.findall(body)))
+    words = [(*m.span(), m.group()) for m in _WORD.finditer(body)] if telling else []
+    bits = [d.word(w) + (d.word_cue if a in slots and not _LINK.match(w) else 0.0) for a, _, w in words]
+    done = 0
+    for k in [i for i, x in enumerate(bits) if x >= NAME_WORD]:
         a, b, w = words[k]
-        if bits[k] < NAME_WORD or _LINK.match(w):
-            k += 1
+        if k < done:
             continue
         end, total, n, j = b, bits[k], 1, k + 1
         while j < len(words):
@@ -425,9 +508,7 @@ def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
             a, n, total = a - (short.end() - short.start()), max(n, 2), total + 2
         if n >= 2 and total >= 2 * NAME_WORD + 1 or n == 1 and bits[k] >= NAME_ALONE and (tamil or a in slots):
             out.append((a, end, total))
-            k = j
-        else:
-            k += 1
+            done = j
     best: list[tuple[int, int, float]] = []
     cued = dict(han_slots(body))
     for m in _HAN2.finditer(body):
@@ -438,7 +519,7 @@ def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
         for n in HAN_LENGTHS:
             if at + n > run:
                 break
-            bits = d.han_name(body[at : at + n]) + (CUE_BITS if cued.get(at) in (-1, at + n) else 0.0)
+            bits = d.han_name(body[at : at + n]) + (d.han_cue if cued.get(at) in (-1, at + n) else 0.0)
             if bits > total:
                 total, end = bits, at + n
         if total >= NAME_HAN:
@@ -450,13 +531,13 @@ def find_names(body: str, d: Disclosure) -> list[tuple[int, int, float]]:
     return out + best
 
 
-def mentions(text: str | None, d: Disclosure) -> list[tuple[int, int, str, float]]:
-    """Mentions of a text as (start, end, kind, bits) in order of place."""
+def mentions(text: str | None, d: Disclosure, spans: list[tuple[int, int, str]] | None = None) -> list[tuple[int, int, str, float]]:
+    """Mentions of a text as (start, end, kind, bits) in order of place; ``spans`` are its forms where they are known."""
     if not text:
         return []
-    spans = structured(text)
-    out = [(a, b, kind, bits) for a, b, kind in spans if (bits := d.form(kind, text[a:b].translate(_WIDE))) >= THRESHOLD]
-    out += [(a, b, "name", bits) for a, b, bits in find_names(masked(text, spans), d)]
+    spans = structured(text) if spans is None else spans
+    out = [(a, b, kind, bits) for a, b, kind in spans if d.discloses(kind, bits := d.form(kind, text[a:b]))]
+    out += [(a, b, "name", bits) for a, b, bits in find_names(masked(text, [x[:3] for x in out]), d)]
     return sorted(out)
 
 
@@ -471,23 +552,101 @@ def redact(text: str | None, found: list[tuple[int, int, str, float]]) -> str |
     return "".join([*out, text[at:]])
 
 
-def learn(df: DataFrame, text_col: str = "text") -> Disclosure:
-    """Count terms over all documents; at most 2**BITS + 3 rows reach the driver."""
-    src = df.select(F.col(text_col).alias("text")).where(F.length(text_col) > 0)
-    return Disclosure.of((r.term, r.n, r.n_protected) for r in count_terms(spread(src)).collect())
+def learned(seen: DataFrame) -> Disclosure:
+    """The disclosure that the counts of ``observed`` tell; at most 2**BITS + 2**FORM_BITS + 7 rows reach the driver."""
+    return Disclosure.of((r.term, r.n, r.n_protected) for r in count_terms(seen).collect())
+
+
+def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Disclosure:
+    """Count terms over all documents."""
+    return learned(observed(df, id_col, text_col))
+
+
+FOUND = "id long, mentions array<struct<pos:long,end:long,kind:string,bits:double,entity:long>>, clean_text string, text_key long"
+
+
+def _key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def entity_key(kind: str, span: str) -> int:
+    """Key of the entity that a mention names: its kind, letters and digits, without case."""
+    return _key(kind + ":" + "".join(c for c in span.translate(_WIDE).casefold() if c.isalnum()))
+
+
+def _found(pdf: pd.DataFrame, disclosure: Disclosure) -> pd.DataFrame:
+    known = pdf["spans"] if "spans" in pdf else [None] * len(pdf)
+    found = [
+        mentions(t, disclosure, None if s is None else [(x["pos"], x["end"], x["kind"]) for x in s])
+        for t, s in zip(pdf["text"], known)
+    ]
+    return pd.DataFrame({
+        "id": pdf["id"],
+        "mentions": [[{"pos": a, "end": b, "kind": k, "bits": x, "entity": entity_key(k, t[a:b])} for a, b, k, x in f] for t, f in zip(pdf["text"], found)],
+        "clean_text": [redact(t, f) for t, f in zip(pdf["text"], found)],
+        "text_key": [_key(t or "") for t in pdf["text"]],
+    })
 
 
 def sanitise(df: DataFrame, disclosure: Disclosure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``mentions`` (place, end, kind, bits) and ``clean_text`` of every document."""
+    """``id``, ``mentions`` (place, end, kind, bits, entity), ``clean_text`` and ``text_key`` of every document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield _found(pdf, disclosure)
+
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return spread(src, "id").mapInPandas(run, FOUND)
+
+
+def sanitised(seen: DataFrame, disclosure: Disclosure) -> DataFrame:
+    """The same of the documents of ``observed``, whose forms are known."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield _found(pdf, disclosure)
+
+    return seen.where("terms is null").select("id", "text", "spans").mapInPandas(run, FOUND)
+
+
+def revealing_terms(found: DataFrame, disclosure: Disclosure) -> DataFrame:
+    """``id``, ``term``: the words of a document that disclose an entity named in it.
+
+    A word t discloses an entity c when their mutual information reaches
+    ``DISCLOSING`` of the entity's own, in at least ``SUPPORT`` different texts.
+    With n texts of c among N this needs n(t) <= n ** a * N ** (1 - a), so only
+    words so rare are paired with entities; their counts are those of the
+    hashed words, which may be too large but never too small.  ``found`` should
+    be staged, since it is read twice.
+    """
+    total = max(1, found.agg(F.count_distinct("text_key").alias("n")).first().n)
+    named = found.select("id", "text_key", F.explode(F.array_distinct(F.transform("mentions", lambda m: m["entity"]))).alias("entity"))
+    entities = named.groupBy("entity").agg(F.count_distinct("text_key").alias("n")).where(F.col("n") >= SUPPORT)
+    docs = named.join(entities, "entity").join(found.select("id", "clean_text"), "id")
+    schema = "id long, text_key long, entity long, n long, term string, n_term long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [mentions(t, disclosure) for t in pdf["text"]]
-            yield pd.DataFrame({
-                "id": pdf["id"],
-                "mentions": [[{"pos": a, "end": b, "kind": k, "bits": x} for a, b, k, x in f] for f in found],
-                "clean_text": [redact(t, f) for t, f in zip(pdf["text"], found)],
-            })
-
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return spread(src, "id").mapInPandas(run, "id long, mentions array<struct<pos:long,end:long,kind:string,bits:double>>, clean_text string")
+            out = []
+            for key, text_key, entity, n, text in zip(pdf["id"], pdf["text_key"], pdf["entity"], pdf["n"], pdf["clean_text"]):
+                most = n**DISCLOSING * total ** (1 - DISCLOSING)
+                for w in set(_WORD.findall(_PLACEHOLDER.sub(" ", text).lower())):
+                    count = int(disclosure.counts[_bucket("w" + w)])
+                    if len(w) > 3 and SUPPORT <= count <= most:
+                        out.append((key, text_key, entity, n, w, count))
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
+
+    pairs = stage(docs.select("id", "text_key", "entity", "n", "clean_text").mapInPandas(run, schema), "terms")
+    both = pairs.groupBy("entity", "term", "n", "n_term").agg(F.count_distinct("text_key").alias("both"))
+    bits = F.log2(F.lit(float(total)) * F.col("both") / (F.col("n") * F.col("n_term")))
+    telling = both.where((F.col("both") >= SUPPORT) & (bits >= DISCLOSING * F.log2(F.lit(float(total)) / F.col("n"))))
+    return pairs.join(telling.select("entity", "term"), ["entity", "term"]).select("id", "term").distinct()
+
+
+def generalised(found: DataFrame, disclosure: Disclosure) -> DataFrame:
+    """The rows of ``found`` with the revealing words of each text as ``[TERM]``, and their number in ``n_terms``."""
+    held = stage(found, "mentions")
+    terms = revealing_terms(held, disclosure).groupBy("id").agg(F.array_sort(F.collect_set("term")).alias("_terms"))
+    masked_ = F.aggregate("_terms", F.col("clean_text"), lambda text, t: F.regexp_replace(text, F.concat(F.lit(r"(?iU)(?<![\w\[])"), t, F.lit(r"(?![\w\]])")), F.lit("[TERM]")))
+    joined = held.join(terms, "id", "left")
+    return joined.withColumn("clean_text", F.when(F.col("_terms").isNull(), F.col("clean_text")).otherwise(masked_)).withColumn("n_terms", F.coalesce(F.size("_terms"), F.lit(0))).drop("_terms")

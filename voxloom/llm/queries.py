@@ -111,18 +111,17 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf, "documents"), read_table(spark, sf, "mix_targets"))[1]
 
 
-def _sanitised(spark: SparkSession, sf: str) -> DataFrame:
-    docs = read_table(spark, sf, "documents")
-    return pii.sanitise(docs, pii.learn(docs))
-
-
 def p10_sanitised(spark: SparkSession, sf: str) -> DataFrame:
-    """The texts with placeholders in the place of mentions."""
-    return _sanitised(spark, sf).select(F.col("id").alias("doc_id"), "clean_text", F.size("mentions").alias("n_mentions"))
+    """The texts with placeholders in the place of mentions and of the terms that disclose an entity."""
+    seen = pii.observed(read_table(spark, sf, "documents"))
+    disclosure = pii.learned(seen)
+    got = pii.generalised(pii.sanitised(seen, disclosure), disclosure)
+    return got.select(F.col("id").alias("doc_id"), "clean_text", F.size("mentions").alias("n_mentions"), "n_terms")
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
-    found = _sanitised(spark, sf).select("id", F.explode("mentions").alias("m"))
+    seen = pii.observed(read_table(spark, sf, "documents"))
+    found = pii.sanitised(seen, pii.learned(seen)).select("id", F.explode("mentions").alias("m"))
     return found.select(F.col("id").alias("doc_id"), F.col("m.pos").alias("pos"), F.col("m.kind").alias("kind"))
 
 
