@@ -77,6 +77,32 @@ def test_apportionment():
         assert mixing.sainte_lague(weights, seats, caps) == naive(weights, seats, caps)
 
 
+def test_apportionment_of_one_large_and_many_small_parties():
+    assert mixing.sainte_lague([90.0] + [0.55] * 20, 101)[0] == 82
+    rng = random.Random(4)
+    for _ in range(200):
+        weights = [rng.choice([50.0, 90.0, 400.0])] + [rng.choice([0.3, 0.55, 1.0, 1.0]) for _ in range(rng.randint(1, 40))]
+        rng.shuffle(weights)
+        seats = rng.randint(0, 300)
+        caps = [rng.choice([seats, seats, rng.randint(0, 60)]) for _ in weights]
+        assert mixing.sainte_lague(weights, seats, caps) == naive(weights, seats, caps)
+    many = mixing.sainte_lague([0.5, 0.3, 0.2], 10**11)
+    assert sum(many) == 10**11 and abs(many[0] - 5 * 10**10) <= 1
+
+
+@needs_vocabulary
+def test_shards_in_groups(spark, monkeypatch):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, "word " * rng.randint(1, 30), "ab"[i % 3 == 0]) for i in range(900)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 3)], "source string, target_share double, max_repeats int")
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 3)
+    sized = mixing.sized_documents(docs)
+    quotas, plan = mixing.plan_quotas(sized, targets, shard_tokens=500)
+    rows, want = quotas.collect(), {r.source: r.quota_tokens for r in plan.collect()}
+    assert len(rows) > 6 and {s: sum(r.quota_tokens for r in rows if r.source == s) for s in want} == want
+    assert all(r.quota_tokens <= r.shard_tokens * r.max_repeats for r in rows)
+
+
 @needs_vocabulary
 def test_mix(spark):
     rng = random.Random(2)
