@@ -35,7 +35,7 @@ def m():
 def test_forward_sums_all_segmentations():
     pieces = {"▁a", "a", "b", "ab", "▁ab", "▁"}
     p = {x: np.array([0.1 * (k + 1)]) for k, x in enumerate(sorted(pieces))}
-    got = lm.PieceModel(("x",), p, {s: np.array([0.0]) for s in ("latin", "han", "tamil", "other")}).word("aab")[0]
+    got = lm.PieceModel.of(("x",), p, {s: np.array([0.0]) for s in ("latin", "han", "tamil", "other")}).word("aab")[0]
 
     def total(s):
         return 1.0 if not s else sum(p[s[:k]][0] * total(s[k:]) for k in range(1, len(s) + 1) if s[:k] in p)
@@ -43,6 +43,29 @@ def test_forward_sums_all_segmentations():
     assert abs(got - np.log(total("▁aab"))) < 1e-9
 
 
+@needs_pieces
+def test_a_long_run_is_summed_over_all_its_segmentations(m):
+    p = {"▁": np.array([0.1]), "a": np.array([0.2]), "b": np.array([0.1]), "ab": np.array([0.05]), "ba": np.array([0.02])}
+    model = lm.PieceModel.of(("x",), p, {s: np.array([0.0]) for s in ("latin", "han", "tamil", "other")})
+    run = "▁" + "ab" * 3000
+    alpha, scale = [1.0] + [0.0] * len(run), 0.0
+    for j in range(1, len(run) + 1):
+        alpha[j] = sum(alpha[j - n] * p[run[j - n : j]][0] for n in (1, 2) if j >= n and run[j - n : j] in p)
+        if alpha[j] < 1e-100:
+            scale += np.log(alpha[j])
+            alpha[j - 1], alpha[j] = alpha[j - 1] / alpha[j], 1.0
+    assert abs(model.word("ab" * 3000)[0] - np.log(alpha[-1]) - scale) < 1e-6
+    han = "司机打开了旧地图我表哥忘记了小船护士修好了厨房的窗户" * 8
+    assert len(han) > 200 and m.langs[int(m.word(han).argmax())] == "zh"
+
+
+@needs_pieces
+def test_samples_are_bounded_by_language(spark):
+    rows = [(c, f"{c} {i}") for c in ("en", "zh", "ta") for i in range(50)]
+    got = lang.bounded(spark.createDataFrame(rows, "lang string, text string"), "lang", "text", 7).collect()
+    assert {c: sum(r.lang == c for r in got) for c in ("en", "zh", "ta")} == {"en": 7, "zh": 7, "ta": 7}
+
+
 @needs_pieces
 def test_language_of_held_out_sentences(m):
     rng = random.Random(7)

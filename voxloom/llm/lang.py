@@ -12,17 +12,19 @@ Null, blank, list, table and unreadable texts have no language.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxloom.llm import speech
 from voxloom.llm.kinds import text_kind
-from voxloom.llm.lm import LANGS, PieceModel, load_pieces, train
+from voxloom.llm.lm import LANGS, PieceModel, evidence, load_pieces, train
+from voxloom.llm.speech import words_of
 from voxloom.session import spread, stage
 
 #: A sentence's language counts from this posterior on.
@@ -50,33 +52,56 @@ def label_code(label):
     return F.when(plain.isin(NO_LANGUAGE), F.lit("")).otherwise(F.coalesce(known, plain))
 
 
+def bounded(rows: DataFrame, group: str, text: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each group, chosen by hash of the text, so that no group or alphabet falls out."""
+    order = Window.partitionBy(group).orderBy(F.xxhash64(text), text)
+    return rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most).drop("_rank")
+
+
+#: Models fitted by this driver, by the hash of what they were fitted to.
+_FITTED: dict[str, PieceModel] = {}
+
+
+def _train(spark: SparkSession, data: list[tuple[str, str]], pieces: list[str]) -> PieceModel:
+    """A model of these samples, fitted once for all queries of a driver and sent to each worker once."""
+    key = hashlib.blake2b(repr((spark.sparkContext.applicationId, data, len(pieces), hash(tuple(pieces)))).encode("utf-8", "replace")).hexdigest()
+    if key not in _FITTED:
+        if len(_FITTED) > 8:
+            _FITTED.clear()
+        _FITTED[key] = train(data, pieces)
+    return _FITTED[key].share(spark)
+
+
 def fit_model(
     spark: SparkSession, samples: DataFrame, words: DataFrame | None = None, labelled: DataFrame | None = None,
-    max_samples: int = 5000, max_labelled: int = 3000, max_chars: int = 20_000,
+    max_samples: int = 1000, max_labelled: int = 600, max_chars: int = 20_000,
 ) -> PieceModel:
     """Train on bounded samples of labelled text.
 
     At most ``max_samples`` sentences (``lang``, ``text``) and as many common
-    words (``lang``, ``word``) give a first model.  Of ``labelled`` rows
-    (``id``, ``text``, ``language``) at most ``max_labelled``, chosen by hash,
-    whose label agrees with that model, then add the wordings of real speech;
-    texts over ``max_chars`` are not among them.  The bounds hold at every size
-    of the input.
+    words (``lang``, ``word``) of each language give a first model.  Of
+    ``labelled`` rows (``id``, ``text``, ``language``) at most ``max_labelled``
+    of each language whose label agrees with that model then add the wordings of
+    real speech; texts over ``max_chars`` are not among them.  Rows are chosen by
+    hash, and the bounds hold at every size of the input.
     """
-    rows = samples.where("lang is not null and text is not null").select("lang", "text").orderBy("lang", "text").limit(max_samples).collect()
-    data = [(r.lang, r.text) for r in rows]
+    clean = samples.where(F.col("lang").isin(*LANGS) & F.col("text").isNotNull()).select("lang", "text")
+    data = sorted((r.lang, r.text) for r in bounded(clean, "lang", "text", max_samples).collect())
     if words is not None:
-        data += [(r.lang, r.word) for r in words.where("lang is not null and word is not null").orderBy("lang", "word").limit(max_samples).collect()]
+        single = words.where(F.col("lang").isin(*LANGS) & F.col("word").isNotNull()).select("lang", "word")
+        data += sorted((r.lang, r.word) for r in bounded(single, "lang", "word", max_samples).collect())
     pieces = load_pieces()
-    model = train(data, pieces)
+    model = _train(spark, data, pieces)
     if labelled is None or not model.langs:
         return model
     code = label_code(F.col("language"))
-    picked = labelled.where((F.length("text") <= max_chars) & code.isin(*model.langs)).select("text", code.alias("code"), F.xxhash64("id").alias("h"))
+    picked = labelled.where((F.length("text") <= max_chars) & code.isin(*model.langs)).select("text", code.alias("code"))
+    rows = sorted((r.code, r.text) for r in bounded(picked, "code", "text", max_labelled).collect())
+    model.warm(w for _, text in rows for w in words_of(text.lower()))
     extra = []
-    for r in picked.orderBy("h", "text").limit(max_labelled).collect():
-        extra += agreeing_sentences(r.text, r.code, model)
-    return train(data + extra, pieces)
+    for label, text in rows:
+        extra += agreeing_sentences(text, label, model)
+    return _train(spark, data + extra, pieces)
 
 
 def agreeing_sentences(text: str, code: str, model: PieceModel) -> list[tuple[str, str]]:
@@ -95,21 +120,27 @@ def agreeing_sentences(text: str, code: str, model: PieceModel) -> list[tuple[st
     return out
 
 
-def detect(text: str, model: PieceModel) -> tuple[str | None, float, list[tuple[int, str, float]]]:
+def parsed_turns(text: str) -> list[tuple[int, list[tuple[list[str], int]]]]:
+    """The turns of a text by number, each with its sentences' words as evidence and their letters."""
+    out = []
+    for no, raw in enumerate(speech.raw_turns(text)):
+        own = [(evidence(s), sum(map(len, words_of(s)))) for s in speech.sentences_of(speech.clean_text(raw))]
+        out.append((no + 1, own))
+    return out
+
+
+def detect(text: str, model: PieceModel, parsed: list | None = None) -> tuple[str | None, float, list[tuple[int, str, float]]]:
     """Main language, its confidence, and (turn number, language, confidence) of turns in another one.
 
     The confidence of a text is the mean over its sentences of the posterior of
-    the main language, weighted by letters; of a turn likewise.
+    the main language, weighted by letters; of a turn likewise.  ``parsed`` are
+    the text's ``parsed_turns`` where they are known.
     """
     turns = []
-    for no, raw in enumerate(speech.raw_turns(text)):
-        sentences = []
-        for s in speech.sentences_of(speech.clean_text(raw)):
-            post = model.posterior(s)
-            if post is not None:
-                sentences.append((post, sum(map(len, speech.words_of(s)))))
-        if sentences:
-            turns.append((no + 1, sentences))
+    for no, own in parsed_turns(text) if parsed is None else parsed:
+        told = [(post, n) for words, n in own if (post := model.posterior_of(words)) is not None]
+        if told:
+            turns.append((no, told))
     votes, letters = Counter(), Counter()
     for _, sentences in turns:
         for post, n in sentences:
@@ -144,9 +175,13 @@ def languages(df: DataFrame, model: PieceModel, id_col: str = "row_id", text_col
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            # All words of a batch are scored together first.
+            parsed = [None if t is None else parsed_turns(t) for t in pdf["text"]]
+            model.warm(w for turns in parsed if turns for _, own in turns for words, _ in own for w in words)
+            model.warm(w for t in pdf["text"] if t is not None for w in words_of(t.lower()))
             got = [
-                detect(t, model) if t is not None and text_kind(t, model) == "prose" else (None, 0.0, [])
-                for t in pdf["text"]
+                detect(t, model, p) if t is not None and text_kind(t, model) == "prose" else (None, 0.0, [])
+                for t, p in zip(pdf["text"], parsed)
             ]
             yield pdf.drop(columns="text").assign(
                 main_lang=[g[0] for g in got],

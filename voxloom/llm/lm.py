@@ -8,10 +8,10 @@ word need be scored once.
 
 from __future__ import annotations
 
-import math
 import os
 import re
-from collections import defaultdict
+from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -21,10 +21,10 @@ from voxloom.llm.speech import words_of
 TOKENIZER_DIR = os.environ.get("VOXLOOM_TOKENIZERS", "/opt/tokenizers")
 LANGS = ("en", "ms", "zh", "ta", "es")
 MARK = "▁"
-MAX_PIECE = 16
-#: Runs longer than this are scored in stretches, which keeps the sums inside a double.
-MAX_RUN = 40
+SCRIPTS = ("latin", "han", "tamil", "other")
 _CACHE_WORDS = 200_000
+#: Cells of the table of one batch of words in the forward algorithm; longer words go alone.
+_CELLS = 400_000
 _RUN = re.compile(r"(.{1,4}?)\1{3,}")
 
 
@@ -49,64 +49,143 @@ def script_of(ch: str) -> str:
     return "other"
 
 
-def _stretches(word: str) -> list[str]:
-    marked = MARK + word
-    return [marked[i : i + MAX_RUN] for i in range(0, len(marked), MAX_RUN)]
+class Lattice:
+    """The pieces in a batch of words: for each the word, its end and length there, and its number."""
+
+    def __init__(self, words: list[str], finder, singles: set[str], floor: dict[str, int]):
+        self.sizes = np.array([len(w) for w in words], dtype=np.int64)
+        found: list[tuple[int, int, int, int]] = []
+        for k, w in enumerate(words):
+            found += [(k, end + 1, n, piece) for end, (n, piece) in finder.iter(w)]
+            if not singles.issuperset(w):
+                found += [(k, i + 1, 1, floor[script_of(c)]) for i, c in enumerate(w) if c not in singles]
+        edges = np.array(found, dtype=np.int64).reshape(-1, 4)
+        self.word, self.end, self.piece = edges[:, 0], edges[:, 1], edges[:, 3]
+        self.start = self.end - edges[:, 2]
+
+    def _steps(self, at: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """For each place in order: the edges that meet there, by word, and where each word's begin."""
+        order = np.lexsort((self.word, at))
+        places, first = np.unique(at[order], return_index=True)
+        out = []
+        for p, part in zip(places.tolist(), np.split(order, first[1:])):
+            w = self.word[part]
+            out.append((p, part, np.flatnonzero(np.r_[True, w[1:] != w[:-1]])))
+        return out
+
+    def forward(self, logs: np.ndarray) -> np.ndarray:
+        """log of the sum over all segmentations of each beginning of each word; ``logs`` has a row for each piece."""
+        alpha = np.full((len(self.sizes), int(self.sizes.max()) + 1, logs.shape[1]), -np.inf)
+        alpha[:, 0] = 0.0
+        for p, edges, heads in self._steps(self.end):
+            w = self.word[edges]
+            alpha[w[heads], p] = np.logaddexp.reduceat(alpha[w, self.start[edges]] + logs[self.piece[edges]], heads, axis=0)
+        return alpha
+
+    def backward(self, logs: np.ndarray) -> np.ndarray:
+        """The same of each ending."""
+        beta = np.full((len(self.sizes), int(self.sizes.max()) + 1, logs.shape[1]), -np.inf)
+        beta[np.arange(len(self.sizes)), self.sizes] = 0.0
+        for p, edges, heads in reversed(self._steps(self.start)):
+            w = self.word[edges]
+            beta[w[heads], p] = np.logaddexp.reduceat(beta[w, self.end[edges]] + logs[self.piece[edges]], heads, axis=0)
+        return beta
+
+
+def _batches(words: Iterable[str]) -> list[list[str]]:
+    """Words in batches of about equal length and a bounded table."""
+    out: list[list[str]] = []
+    for w in sorted(words, key=len):
+        if not out or (len(out[-1]) + 1) * (len(w) + 1) > _CELLS:
+            out.append([])
+        out[-1].append(w)
+    return out
+
+
+def _finder(pieces: list[str]):
+    """An automaton that finds every piece in a word, with its length and number."""
+    import ahocorasick
+
+    out = ahocorasick.Automaton()
+    for k, p in enumerate(pieces):
+        out.add_word(p, (len(p), k))
+    out.make_automaton()
+    return out
+
+
+_BUILT: dict[int, tuple[object, PieceModel]] = {}
+
+
+def _of_broadcast(shared) -> PieceModel:
+    """The model of a broadcast, built once in each worker."""
+    state = shared.value
+    hit = _BUILT.get(id(state))
+    if hit is None:
+        hit = _BUILT[id(state)] = (state, PieceModel(*state))
+    return hit[1]
 
 
 class PieceModel:
     """Piece probabilities of each language and the forward algorithm over them.
 
-    ``probs`` maps a piece to one probability per language; ``floor`` has by
-    script the probability of one character that no piece covers (a stand-in for
-    the byte fallback).
+    ``table`` has a row of probabilities by language for each of ``pieces``, and
+    behind them one for each script: the probability of a character that no
+    piece covers (a stand-in for the byte fallback).  Its size is that of the
+    vocabulary.  Words of any length are summed over all their segmentations.
     """
 
-    def __init__(self, langs: tuple[str, ...], probs: dict[str, np.ndarray], floor: dict[str, np.ndarray]):
-        self.langs, self.probs, self.floor = tuple(langs), probs, floor
-        self.longest = max(map(len, probs), default=1)
+    def __init__(self, langs: tuple[str, ...], pieces: list[str], table: np.ndarray):
+        self.langs, self.pieces, self.table = tuple(langs), pieces, table
+        with np.errstate(divide="ignore"):
+            self._logs = np.log(table)
+        self._find = _finder(pieces) if pieces else None
+        self._singles = {p for p in pieces if len(p) == 1}
+        self._floor = {x: len(pieces) + k for k, x in enumerate(SCRIPTS)}
         self._cache: dict[str, np.ndarray] = {}
-
-    def __getstate__(self):
-        return {"langs": self.langs, "probs": self.probs, "floor": self.floor}
-
-    def __setstate__(self, state):
-        self.__init__(state["langs"], state["probs"], state["floor"])
-
-    def forward(self, run: str) -> np.ndarray:
-        """log P(run) per language, summed over all segmentations."""
-        n, probs = len(run), self.probs
-        alpha = [None] * (n + 1)
-        alpha[0] = np.ones(len(self.langs))
-        scale = 0.0
-        for j in range(1, n + 1):
-            ch = probs.get(run[j - 1])
-            total = alpha[j - 1] * (self.floor[script_of(run[j - 1])] if ch is None else ch)
-            for i in range(max(0, j - self.longest), j - 1):
-                p = probs.get(run[i:j])
-                if p is not None:
-                    total = total + alpha[i] * p
-            alpha[j] = total
-        return np.log(np.maximum(alpha[n], 1e-300)) + scale
+        self._shared = None
+
+    @classmethod
+    def of(cls, langs: tuple[str, ...], probs: dict[str, np.ndarray], floor: dict[str, np.ndarray]) -> PieceModel:
+        pieces = sorted(probs)
+        return cls(langs, pieces, np.array([*(probs[p] for p in pieces), *(floor[x] for x in SCRIPTS)]).reshape(-1, len(langs)))
+
+    def share(self, spark) -> PieceModel:
+        """Sent to the executors as a broadcast from now on."""
+        if self._shared is None:
+            self._shared = spark.sparkContext.broadcast((self.langs, self.pieces, self.table))
+        return self
+
+    def __reduce__(self):
+        if self._shared is not None:
+            return _of_broadcast, (self._shared,)
+        return PieceModel, (self.langs, self.pieces, self.table)
+
+    def warm(self, words: Iterable[str]) -> None:
+        """Score words that are not kept yet, many at a time."""
+        new = {w for w in words if w not in self._cache}
+        if len(self._cache) + len(new) > _CACHE_WORDS:
+            self._cache.clear()
+        for batch in _batches(new):
+            lattice = Lattice([MARK + w for w in batch], self._find, self._singles, self._floor)
+            alpha = lattice.forward(self._logs)
+            self._cache.update(zip(batch, alpha[np.arange(len(batch)), lattice.sizes]))
 
     def word(self, word: str) -> np.ndarray:
         """log P(word) per language, kept for the next time."""
         hit = self._cache.get(word)
         if hit is None:
-            if len(self._cache) > _CACHE_WORDS:
-                self._cache.clear()
-            hit = sum((self.forward(s) for s in _stretches(word)), np.zeros(len(self.langs)))
-            self._cache[word] = hit
+            self.warm([word])
+            hit = self._cache[word]
         return hit
 
+    def scored(self, words: list[str]) -> tuple[np.ndarray, int]:
+        """Sum of the log probabilities of words in lower case per language, and their characters; numbers are left out."""
+        rows = [self.word(w) for w in words if not w.isdigit()]
+        return (np.add.reduce(rows) if rows else np.zeros(len(self.langs))), sum(len(w) for w in words if not w.isdigit())
+
     def score(self, text: str) -> tuple[np.ndarray, int]:
         """Sum of the words' log probabilities per language, and the characters scored."""
-        total, chars = np.zeros(len(self.langs)), 0
-        for w in words_of(text.lower()):
-            if not w.isdigit():
-                total = total + self.word(w)
-                chars += len(w)
-        return total, chars
+        return self.scored(words_of(text.lower()))
 
     def posterior(self, text: str) -> np.ndarray | None:
         """P(language | text) under equal priors; None for a text without letters.
@@ -114,13 +193,22 @@ class PieceModel:
         A word that is repeated is evidence once, so a loop over one ambiguous
         word stays ambiguous.
         """
-        total, chars = self.score(" ".join(dict.fromkeys(words_of(_RUN.sub(r"\1\1", text.lower())))))
+        return self.posterior_of(evidence(text))
+
+    def posterior_of(self, words: list[str]) -> np.ndarray | None:
+        """The same of the words that ``evidence`` gives."""
+        total, chars = self.scored(words)
         if not chars:
             return None
         e = np.exp(total - total.max())
         return e / e.sum()
 
 
+def evidence(text: str) -> list[str]:
+    """The different words of a text in lower case, loops inside them taken back."""
+    return list(dict.fromkeys(words_of(_RUN.sub(r"\1\1", text.lower()))))
+
+
 def train(samples: list[tuple[str, str]], pieces: list[str], langs: tuple[str, ...] = LANGS, rounds: int = 4, background: float = 0.1) -> PieceModel:
     """Fit piece probabilities by expectation maximisation over all segmentations.
 
@@ -130,65 +218,44 @@ def train(samples: list[tuple[str, str]], pieces: list[str], langs: tuple[str, .
     """
     langs = tuple(x for x in langs if any(lang == x for lang, _ in samples))
     vocabulary = set(pieces)
-    counts = {x: defaultdict(int) for x in langs}
+    counts: dict[str, Counter] = {x: Counter() for x in langs}
     for lang, text in samples:
         if lang in counts:
-            for w in words_of(text.lower()):
-                if not w.isdigit():
-                    counts[lang][w] += 1
+            counts[lang].update(w for w in words_of(text.lower()) if not w.isdigit())
+    chars = {c for lang in langs for w in counts[lang] for c in w}
+    known = sorted(vocabulary | chars | {MARK})
+    finder, singles = _finder(known), {p for p in known if len(p) == 1}
     even = 1.0 / max(len(vocabulary), 1)
     learned = []
     for lang in langs:
-        p: dict[str, float] = {}
+        lattices = []
+        for words in _batches(counts[lang]):
+            lattices.append((Lattice([MARK + w for w in words], finder, singles, {}), np.array([counts[lang][w] for w in words], dtype=float)))
+        p = np.zeros(len(known))
         for _ in range(rounds):
-            expected: dict[str, float] = defaultdict(float)
-            for w, n in counts[lang].items():
-                for s in _stretches(w):
-                    _expect(s, n, p, vocabulary, even, expected)
-            total = sum(expected.values()) or 1.0
-            p = {k: v / total for k, v in expected.items() if v > 1e-9}
+            logs = np.log(0.98 * p + 0.02 * even)[:, None]
+            expected = np.zeros(len(known))
+            for lattice, n in lattices:
+                alpha, beta = lattice.forward(logs)[:, :, 0], lattice.backward(logs)[:, :, 0]
+                whole = alpha[np.arange(len(n)), lattice.sizes]
+                w = lattice.word
+                use = np.exp(alpha[w, lattice.start] + logs[lattice.piece, 0] + beta[w, lattice.end] - whole[w]) * n[w]
+                expected += np.bincount(lattice.piece, weights=use, minlength=len(known))
+            total = expected.sum() or 1.0
+            p = np.where(expected > 1e-9, expected, 0.0) / total
         learned.append(p)
     # The background of a language lies mostly on the scripts its samples use.
     own = [{script_of(c) for w in counts[lang] for c in w} for lang in langs]
-    script = {piece: script_of(piece.strip(MARK)[:1] or "a") for piece in vocabulary}
-    size = defaultdict(int)
-    for x in script.values():
-        size[x] += 1
+    script = {piece: script_of(piece.strip(MARK)[:1] or "a") for piece in known}
+    size = Counter(script[x] for x in vocabulary)
     spread = {
         x: np.array([background * (0.9 * (x in mine) / max(1, sum(size[y] for y in mine)) + 0.1 * even) for mine in own])
-        for x in ("latin", "han", "tamil", "other")
+        for x in SCRIPTS
     }
-    probs = {}
-    for piece in set().union(*learned, vocabulary):
-        x = script.get(piece) or script_of(piece.strip(MARK)[:1] or "a")
-        probs[piece] = np.array([(1 - background) * p.get(piece, 0.0) for p in learned]) + spread[x]
-    return PieceModel(langs, probs, {x: row / 16 for x, row in spread.items()})
-
-
-def _expect(s: str, weight: int, p: dict[str, float], vocabulary: set[str], even: float, expected: dict[str, float]) -> None:
-    """Add the expected uses of each piece in one run to ``expected``."""
-    n = len(s)
-
-    def prob(piece: str) -> float:
-        return p.get(piece, 0.0) * 0.98 + (0.02 * even if piece in vocabulary or len(piece) == 1 else 0.0)
-
-    edges = [(i, j, q) for i in range(n) for j in range(i + 1, min(n, i + MAX_PIECE) + 1) if (q := prob(s[i:j])) > 0]
-    into, out = defaultdict(list), defaultdict(list)
-    for i, j, q in edges:
-        into[j].append((i, q))
-        out[i].append((j, q))
-    alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
-    alpha[0] = beta[n] = 1.0
-    for j in range(1, n + 1):
-        alpha[j] = sum(alpha[i] * q for i, q in into[j])
-    for i in range(n - 1, -1, -1):
-        beta[i] = sum(beta[j] * q for j, q in out[i])
-    if alpha[n] <= 0:
-        return
-    for i, j, q in edges:
-        expected[s[i:j]] += weight * alpha[i] * q * beta[j] / alpha[n]
+    probs = {piece: np.array([(1 - background) * p[k] for p in learned]) + spread[script[piece]] for k, piece in enumerate(known) if piece in vocabulary or any(p[k] for p in learned)}
+    return PieceModel.of(langs, probs, {x: row / 16 for x, row in spread.items()})
 
 
 def mean_log(scores: np.ndarray, chars: int) -> float:
     """Best mean log probability of a character; a text without letters gets the worst."""
-    return float(scores.max() / chars) if chars else -math.inf
+    return float(scores.max() / chars) if chars else float("-inf")
