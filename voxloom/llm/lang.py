@@ -62,13 +62,13 @@ def bounded(rows: DataFrame, group: str, text: str, most: int) -> DataFrame:
 _FITTED: dict[str, PieceModel] = {}
 
 
-def _train(spark: SparkSession, data: list[tuple[str, str]], pieces: list[str]) -> PieceModel:
-    """A model of these samples, fitted once for all queries of a driver and sent to each worker once."""
-    key = hashlib.blake2b(repr((spark.sparkContext.applicationId, data, len(pieces), hash(tuple(pieces)))).encode("utf-8", "replace")).hexdigest()
+def _fitted(spark: SparkSession, inputs, make) -> PieceModel:
+    """The model that ``make`` gives for these inputs, fitted once for all queries of a driver and sent to each worker once."""
+    key = hashlib.blake2b(repr((spark.sparkContext.applicationId, inputs)).encode("utf-8", "replace")).hexdigest()
     if key not in _FITTED:
         if len(_FITTED) > 8:
             _FITTED.clear()
-        _FITTED[key] = train(data, pieces)
+        _FITTED[key] = make()
     return _FITTED[key].share(spark)
 
 
@@ -85,23 +85,38 @@ def fit_model(
     real speech; texts over ``max_chars`` are not among them.  Rows are chosen by
     hash, and the bounds hold at every size of the input.
     """
-    clean = samples.where(F.col("lang").isin(*LANGS) & F.col("text").isNotNull()).select("lang", "text")
-    data = sorted((r.lang, r.text) for r in bounded(clean, "lang", "text", max_samples).collect())
+    clean = samples.where(F.col("lang").isin(*LANGS) & F.col("text").isNotNull()).select(F.lit("text").alias("kind"), "lang", "text")
     if words is not None:
-        single = words.where(F.col("lang").isin(*LANGS) & F.col("word").isNotNull()).select("lang", "word")
-        data += sorted((r.lang, r.word) for r in bounded(single, "lang", "word", max_samples).collect())
+        single = words.where(F.col("lang").isin(*LANGS) & F.col("word").isNotNull())
+        clean = clean.unionByName(single.select(F.lit("word").alias("kind"), "lang", F.col("word").alias("text")))
+    taken = bounded(clean.withColumn("own", F.concat("kind", "lang")), "own", "text", max_samples)
+    data = sorted((r.lang, r.text) for r in taken.select("lang", "text").collect())
     pieces = load_pieces()
-    model = _train(spark, data, pieces)
+    vocabulary = hashlib.blake2b("\n".join(pieces).encode()).hexdigest()
+    model = _fitted(spark, (vocabulary, data), lambda: train(data, pieces))
     if labelled is None or not model.langs:
         return model
-    code = label_code(F.col("language"))
-    picked = labelled.where((F.length("text") <= max_chars) & code.isin(*model.langs)).select("text", code.alias("code"))
-    rows = sorted((r.code, r.text) for r in bounded(picked, "code", "text", max_labelled).collect())
-    model.warm(w for _, text in rows for w in words_of(text.lower()))
-    extra = []
-    for label, text in rows:
-        extra += agreeing_sentences(text, label, model)
-    return _train(spark, data + extra, pieces)
+    # The rows are chosen by their ids, so that no text is sorted; a repeated id gives one row.
+    usable = labelled.withColumn("code", label_code(F.col("language"))).where((F.length("text") <= max_chars) & F.col("code").isin(*model.langs))
+    ids = bounded(usable.select("id", "code"), "code", "id", max_labelled).select("id").distinct()
+    # At most max_labelled ids of each language.
+    chosen = usable.join(F.broadcast(ids), "id").groupBy("id").agg(F.min(F.struct("code", "text")).alias("r"))
+    rows = sorted((r.code, r.text) for r in chosen.select("r.*").collect())
+
+    def refined() -> PieceModel:
+        def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                model.warm(w for text in pdf["text"] for w in words_of(text.lower()))
+                agreed = [pair for label, text in zip(pdf["code"], pdf["text"]) for pair in agreeing_sentences(text, label, model)]
+                yield pd.DataFrame(agreed, columns=["code", "text"])
+
+        if not rows:
+            return model
+        src = spread(spark.createDataFrame(rows, "code string, text string"), "text", waves=1)
+        agreed = sorted((r.code, r.text) for r in src.mapInPandas(agree, "code string, text string").collect())
+        return train(data + agreed, pieces)
+
+    return _fitted(spark, (vocabulary, data, rows), refined)
 
 
 def agreeing_sentences(text: str, code: str, model: PieceModel) -> list[tuple[str, str]]:
