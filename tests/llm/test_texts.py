@@ -113,6 +113,16 @@ def test_quality(spark, m):
     assert quality.text_quality(df.where("false"), m, words).count() == 0
 
 
+@needs_pieces
+def test_a_small_language_and_many_common_words(spark, m):
+    rng = random.Random(9)
+    rows = [(i, " ".join(sentence("en", rng) for _ in range(5))) for i in range(300)] + [(1000 + i, " ".join(sentence("ta", rng) for _ in range(5))) for i in range(12)]
+    words = spark.createDataFrame([("en", f"word{i}") for i in range(25_000)] + [("ta", "என்"), ("ta", "படகை"), ("ta", "கதவை")], "lang string, word string")
+    got = {r.id: r for r in quality.text_quality(spark.createDataFrame(rows, "row_id long, text string"), m, words).collect()}
+    assert max(got[1000 + i].common_word_share for i in range(12)) > 0
+    assert all(got[1000 + i].kind is None for i in range(12)) and sum(got[i].kind is not None for i in range(300)) == 0
+
+
 def test_stale(spark):
     f = lambda n, w, r, d=30.0: (d, 0.0, r, w, n, 0.0, 0.0)
     rows = [

@@ -75,6 +75,17 @@ def is_junk(text: str, model: PieceModel) -> bool:
     return score < (READABLE_HAN if han > 0.3 * len(text) else READABLE)
 
 
+def structure(text: str, model: PieceModel) -> tuple[float, float]:
+    """Two statistics of a text's build: the share of its lines that are rows of three or more columns, and of its parts that are readable items."""
+    if LABEL.search(text):
+        return 0.0, 0.0
+    columns = table_columns(text)
+    if columns >= 3:
+        return 1.0, 0.0
+    items = list_items(text)
+    return 0.0, float(bool(items) and not is_junk(" ".join(items), model))
+
+
 def text_kind(text: str | None, model: PieceModel) -> str:
     """``blank``, ``table``, ``list``, ``junk`` or ``prose``."""
     if text is None or not text.strip():
