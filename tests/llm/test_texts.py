@@ -182,6 +182,11 @@ def test_cut_rows_and_limits(spark, m):
     assert truncation.truncated(df.where("false"), m).count() == 0
 
 
+def test_a_limit_of_few_characters(spark):
+    df = spark.createDataFrame([(i, "en_s", "the driver opened it"[:12] if i % 4 else "short one.") for i in range(200)] + [(500 + i, "en_s", "the map is o") for i in range(100)], "row_id long, config_key string, text string")
+    assert truncation.set_limits(df) == {"en_s": ("chars", 12)}
+
+
 NAMES = [(a, b) for a in ("Ashwyn", "Ashrel", "Quenndon", "Quennara", "Velmith", "Velmara") for b in ("Oaksling", "Oaksmere", "Grayfield", "Grayling", "Fennmere", "Fennfield")]
 
 

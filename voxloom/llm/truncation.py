@@ -13,6 +13,7 @@ Null and blank texts, lists, tables and unreadable texts are never cut.
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 import zlib
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from voxloom.llm import speech
 from voxloom.llm.kinds import text_kind
 from voxloom.llm.lm import PieceModel
-from voxloom.session import spread
+from voxloom.session import spread, stage
 
 BITS = 18
 WIDTH = 40
@@ -176,29 +177,32 @@ def probability(text: str, at_limit: str, weights: np.ndarray) -> float:
     return 1 / (1 + float(np.exp(-max(-30.0, min(30.0, z)))))
 
 
-def set_limits(df: DataFrame, set_col: str = "config_key", text_col: str = "text") -> dict[str, tuple[str, int]]:
-    """Limit of each set that has one, as (unit, length), from the lengths of all rows.
+def limit_table(df: DataFrame, set_col: str = "config_key", text_col: str = "text") -> DataFrame:
+    """``source, unit, n``: the limit of each set that has one, from the lengths of all rows.
 
     Counted are texts that do not end in a stop.  A limit in bytes may leave up
-    to three bytes of a character away, or put a mark in their place.  What
-    reaches the driver is the highest spike of each set and unit.
+    to three bytes of a character away, or put a mark in their place.
+    Characters go before bytes where they explain about as many rows.
     """
     text = F.col(text_col)
-    unfinished = df.where(text.isNotNull() & F.col(set_col).isNotNull() & (F.length(text) > 20)).where(~text.rlike(r"[.!?。！？)\]）*]\s*$") | text.rlike(r"\.\.\.\s*$"))
+    unfinished = df.where(text.isNotNull() & F.col(set_col).isNotNull() & (F.length(text) > 0)).where(~text.rlike(r"[.!?。！？)\]）*]\s*$") | text.rlike(r"\.\.\.\s*$"))
     sized = unfinished.select(F.col(set_col).alias("s"), F.explode(F.map_from_arrays(F.array(F.lit("chars"), F.lit("bytes")), F.array(F.length(text), F.octet_length(text)))).alias("unit", "n"))
     counts = sized.groupBy("s", "unit", "n").agg(F.count("*").alias("c"))
     # Each length of bytes also stands for a limit up to three bytes away; the sums are over lengths, not rows.
     near = counts.select("s", "unit", F.explode(F.when(F.col("unit") == "chars", F.array("n")).otherwise(F.sequence(F.col("n"), F.col("n") + 3))).alias("n"), "c")
     summed = near.groupBy("s", "unit", "n").agg(F.sum("c").alias("c"))
     best = summed.groupBy("s", "unit").agg(F.max_by("n", F.struct("c", "n")).alias("n"), F.max("c").alias("c"))
-    total = unfinished.groupBy(F.col(set_col).alias("s")).agg(F.count("*").alias("t"))
-    rows = best.join(total, "s").where((F.col("c") >= LIMIT_ROWS) & (F.col("c") >= LIMIT_SHARE * F.col("t"))).collect()
-    limits: dict[str, tuple[int, str, int]] = {}
-    for r in sorted(rows, key=lambda r: (r.unit != "chars", r.n)):
-        # Characters go before bytes where they explain as many rows.
-        if r.s not in limits or r.c > 1.3 * limits[r.s][0]:
-            limits[r.s] = (r.c, r.unit, r.n)
-    return {s: (unit, n) for s, (_, unit, n) in limits.items()}
+    total = counts.where("unit = 'chars'").groupBy("s").agg(F.sum("c").alias("t"))
+    spikes = best.join(total, "s").where((F.col("c") >= LIMIT_ROWS) & (F.col("c") >= LIMIT_SHARE * F.col("t")))
+    of = lambda unit: F.max(F.when(F.col("unit") == unit, F.struct("c", "unit", "n")))
+    both = spikes.groupBy("s").agg(of("chars").alias("x"), of("bytes").alias("y"))
+    picked = F.when(F.col("x").isNull() | (F.col("y.c") > 1.3 * F.col("x.c")), F.col("y")).otherwise(F.col("x"))
+    return both.select(F.col("s").alias("source"), picked.alias("p")).select("source", "p.unit", "p.n")
+
+
+def set_limits(df: DataFrame, set_col: str = "config_key", text_col: str = "text") -> dict[str, tuple[str, int]]:
+    """The limits as a dictionary, to look at; the operators join the table."""
+    return {r.source: (r.unit, r.n) for r in limit_table(df, set_col, text_col).collect()}
 
 
 def against_limit(text: str, limit: tuple[str, int] | None) -> str:
@@ -211,37 +215,62 @@ def against_limit(text: str, limit: tuple[str, int] | None) -> str:
     return "at" if n - slack <= size <= n else "over" if size > n else "no"
 
 
-def fit(df: DataFrame, limits: dict[str, tuple[str, int]], id_col: str = "row_id", set_col: str = "config_key", text_col: str = "text", max_rows: int = 6000, max_chars: int = 20_000, seed: int = 11) -> np.ndarray:
-    """Train on artificial cuts of at most ``max_rows`` intact texts of at most ``max_chars``, chosen by hash of the id."""
-    intact = df.where(F.length(text_col) <= max_chars).where(F.col(text_col).rlike(r"[.!?。！？]\s*$") & ~F.col(text_col).rlike(r"\.\.\.\s*$"))
-    rows = intact.select(F.col(set_col).alias("s"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")).orderBy("h", "text").limit(max_rows).collect()
-    rng = random.Random(seed)
-    examples = [
-        (features(t, near), cut)
-        for r in rows if speech.LABEL.search(r.text) or len(speech.words_of(r.text)) > 3
-        for t, near, cut in artificial(r.text, rng, r.s in limits)
-    ]
-    return train(examples)
+#: Weights fitted by this driver, by the hash of the examples.
+_FITTED: dict[str, np.ndarray] = {}
+
+
+def fit(rows: DataFrame, max_rows: int = 6000, max_chars: int = 20_000, seed: int = 11) -> np.ndarray:
+    """Train on artificial cuts of at most ``max_rows`` intact texts of at most ``max_chars``, chosen by hash of the id.
+
+    ``rows`` has ``id``, ``text`` and ``unit``, which is null where the set has
+    no limit.  The cuts are made where the texts lie; their hashed features
+    reach the driver.
+    """
+    intact = rows.where(F.length("text") <= max_chars).where(F.col("text").rlike(r"[.!?。！？]\s*$") & ~F.col("text").rlike(r"\.\.\.\s*$"))
+    chosen = intact.select(F.xxhash64("id").alias("h"), "text", F.col("unit").isNotNull().alias("limited")).orderBy("h", "text").limit(max_rows)
+
+    def cuts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for h, t, limited in zip(pdf["h"], pdf["text"], pdf["limited"]):
+                if speech.LABEL.search(t) or len(speech.words_of(t)) > 3:
+                    rng = random.Random(f"{seed} {h}")
+                    out += [(h, features(v, near), cut) for v, near, cut in artificial(t, rng, bool(limited))]
+            yield pd.DataFrame(out, columns=["h", "f", "cut"])
+
+    made = spread(chosen, "h", waves=1).mapInPandas(cuts, "h long, f array<int>, cut int").collect()
+    examples = sorted((r.h, r.cut, list(r.f)) for r in made)
+    key = hashlib.blake2b(repr(examples).encode()).hexdigest()
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = train([(f, cut) for _, cut, f in examples])
+    return _FITTED[key]
 
 
 def truncated(df: DataFrame, model: PieceModel, id_col: str = "row_id", set_col: str = "config_key", text_col: str = "text", max_rows: int = 6000) -> DataFrame:
-    """``id, source, p_cut, cut`` of every row."""
-    limits = set_limits(df, set_col, text_col)
-    weights = fit(df, limits, id_col, set_col, text_col, max_rows).astype(np.float32)
+    """``id, source, p_cut, cut`` of every row.
+
+    A text that ends in a stop without an ellipsis is whole by definition, as are lists, tables and junk.
+    """
+    src = df.select(F.col(id_col).alias("id"), F.col(set_col).alias("source"), F.col(text_col).alias("text"))
+    # One row per set; staged, so that its size is known when it is joined.
+    limits = stage(limit_table(df, set_col, text_col), "limits")
+    rows = src.join(limits, "source", "left")
+    weights = df.sparkSession.sparkContext.broadcast(fit(rows, max_rows).astype(np.float32))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ps, cuts = [], []
-            for s, text in zip(pdf["source"], pdf["text"]):
-                p = 0.0
-                if text is not None and text.strip():
-                    p = probability(text, against_limit(text, limits.get(s)), weights)
-                ps.append(p)
-                cuts.append(p >= 0.5 and not (_STOP_END.search(text) and not _ELLIPSIS.search(text)) and text_kind(text, model) == "prose")
+            # Only texts that may be cut are asked for their kind.
+            ps = [
+                probability(text, against_limit(text, None if unit is None else (unit, int(n))), weights.value) if text is not None and text.strip() else 0.0
+                for text, unit, n in zip(pdf["text"], pdf["unit"], pdf["n"])
+            ]
+            open_ = [p >= 0.5 and not (_STOP_END.search(t) and not _ELLIPSIS.search(t)) for p, t in zip(ps, pdf["text"])]
+            model.warm(w for t, o in zip(pdf["text"], open_) if o for w in speech.words_of(t.lower()))
+            cuts = [bool(o) and text_kind(t, model) == "prose" for t, o in zip(pdf["text"], open_)]
             yield pdf[["id", "source"]].assign(p_cut=ps, cut=cuts)
 
-    src = df.select(F.col(id_col).alias("id"), F.col(set_col).alias("source"), F.col(text_col).alias("text"))
-    return spread(src, "id").mapInPandas(run, "id long, source string, p_cut double, cut boolean")
+    return spread(rows, "id").mapInPandas(run, "id long, source string, p_cut double, cut boolean")
 
 
 def cut_rates(found: DataFrame) -> DataFrame:
