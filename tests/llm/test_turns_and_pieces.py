@@ -129,3 +129,23 @@ def test_a_turn_passes_over_any_number_of_mentions():
             weights = WEIGHTS * 0 + weights
             path, score = best_over_all_edges(text, cands, weights)
             assert abs(path_score(text, cands, turns.decode(text, cands, weights), weights) - score) < 1e-6
+
+
+def test_mentions_stay_in_the_words():
+    got = found("<Speaker1>: They asked Speaker 2: why he left.\n<Speaker2>: Yes.")
+    assert [n for _, n, _ in got] == [1, 2] and got[0][2] == "They asked Speaker 2: why he left."
+
+
+def test_labels_of_other_words_are_candidates_that_the_model_turns_down():
+    text = "<Speaker1>: Part 2: the map. Room 14: the boat.\n[3] the river.\n<Speaker2>: Chapter 9: nobody."
+    assert len(turns.candidates(text)) == 6
+    assert [(n, w) for _, n, w in found(text)] == [(1, "Part 2: the map. Room 14: the boat. [3] the river."), (2, "Chapter 9: nobody.")]
+    assert found("Part 2: the map. Room 14: the boat.") == found("1) the map 2) the boat") == []
+
+
+def test_digits_of_any_script_and_length(spark):
+    wide, long = "<Speaker１>： hello there. <Speaker٢>: again.", "<Speaker" + "7" * 5000 + ">: hello."
+    assert [n for _, n, _ in found(wide)] == [1, 2] and found(long) == [(1, 1, "hello.")]
+    df = spark.createDataFrame([(1, wide), (2, long)], "row_id long, text string")
+    samples = spark.createDataFrame([(t,) for t in CLEAN], "text string")
+    assert sorted((r.rec_key, r.speaker_no) for r in turns.speaker_turns(df, samples).collect()) == [("1", 1), ("1", 2), ("2", 1)]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from bisect import bisect_left
 
 # The spellings of speaker labels, each with the number as its only group.
 LABEL_STYLES = [
@@ -15,6 +17,8 @@ LABEL_STYLES = [
     r"说话人\s*(\d+)\s*[:：]",
 ]
 LABEL = re.compile("|".join(LABEL_STYLES), re.I)
+#: Anything built like a label: marks, a word or none, a number, and a mark behind it.
+NUMBERED = re.compile(r"(?:[<\[*({#]{1,2}\s*)?(?<![^\W\d_])(?:[^\W\d_]{1,12}[\s._#-]{0,2})?(?<!\d)(\d{1,9})(?!\d)\s*(?:[>\])}]\s*[:：]?|\*\*\s*[:：]?|[:：](?!\d)\s*(?:\*\*)?)")
 
 # The notations of timestamps.
 TIMESTAMP_STYLES = [
@@ -99,9 +103,26 @@ def timestamp_seconds(mark: str) -> float:
     return total
 
 
-def label_spans(text: str) -> list[tuple[int, int, int]]:
+def number_key(digits: str) -> str:
+    """A number of any length and script as plain digits without leading zeros."""
+    return "".join(str(unicodedata.digit(c)) for c in digits).lstrip("0") or "0"
+
+
+def label_spans(text: str) -> list[tuple[int, int, str]]:
     """Places of labels as (start, end, number)."""
-    return [(m.start(), m.end(), int(next(g for g in m.groups() if g is not None))) for m in LABEL.finditer(text)]
+    return [(m.start(), m.end(), number_key(m.group(m.lastindex))) for m in LABEL.finditer(text)]
+
+
+def numbered_spans(text: str) -> list[tuple[int, int, str]]:
+    """Places of anything else that is built like a label, apart from labels and timestamps."""
+    taken = sorted([m.span() for m in LABEL.finditer(text)] + [m.span() for m in TIMESTAMP.finditer(text)])
+    starts = [a for a, _ in taken]
+    out = []
+    for m in NUMBERED.finditer(text):
+        k = bisect_left(starts, m.end()) - 1
+        if k < 0 or taken[k][1] <= m.start():
+            out.append((m.start(), m.end(), number_key(m.group(1))))
+    return out
 
 
 def sentences_of(text: str) -> list[str]:

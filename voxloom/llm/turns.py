@@ -1,15 +1,17 @@
 """Problem 1: speech transcripts into clean speaker turns.
 
 Method: a semi-Markov conditional model over whole turns.  Candidates for the
-start of a turn are the places where something spelt like a speaker label
-stands, together with a timestamp next to it.  A segmentation is a choice of
-candidates; its score is the sum of the scores of its turns, each a weighted sum
+start of a turn are all places where something is built like a label, a word
+and a number with a mark behind them ("Part 2:", "[3]", "Q1:"), whether or not
+it is spelt like a speaker, together with a timestamp next to it.  A
+segmentation is a choice of candidates, or of none; its score is the sum of the scores of its turns, each a weighted sum
 of features of the label (spelling, place in the line), of the pause (timestamp
 given, time since the turn before) and of the lexical continuity across the
 boundary (does a sentence end before it and one begin after it).  The weights
 are fitted by conditional likelihood (forward sums over all segmentations) on
 transcripts that are put together from clean sample sentences; decoding is the
-best path.  Non-speech spans are removed when a turn is rebuilt.
+best path.  Non-speech spans are removed when a turn is rebuilt; a candidate that
+does not start a turn is what was said there, and stays.
 
 Null and blank texts, and texts without any label, give no turns.
 """
@@ -35,20 +37,21 @@ FEATURES = [
     "turns", "bracketed", "plain", "line_start", "after_stop", "after_comma", "mid_sentence", "before_capital",
     "before_lower", "mention", "timestamp", "no_timestamp", "pause_long", "time_back", "style_repeats",
     "inside_bracketed", "inside_plain", "inside_mention", "inside_stop", "inside_timestamp", "log_words", "empty",
+    "other_word", "other_line_start", "other_timestamp", "other_repeats", "inside_other",
 ]
 _INDEX = {f: i for i, f in enumerate(FEATURES)}
 # Features of the candidates that a turn passes over, with those that they add up.
-_INSIDE = (("inside_bracketed", "bracketed"), ("inside_plain", "plain"), ("inside_mention", "mention"), ("inside_stop", "after_stop"), ("inside_timestamp", "timestamp"))
+_INSIDE = (("inside_other", "other_word"), ("inside_bracketed", "bracketed"), ("inside_plain", "plain"), ("inside_mention", "mention"), ("inside_stop", "after_stop"), ("inside_timestamp", "timestamp"))
 _GAP = re.compile(r"[\s,，]*\Z")
 
 
 class Candidate:
     """A possible start of a turn: where its head begins and its words begin, its number, time and features."""
 
-    __slots__ = ("head", "body", "number", "seconds", "x")
+    __slots__ = ("head", "body", "number", "seconds", "x", "label")
 
-    def __init__(self, head, body, number, seconds, x):
-        self.head, self.body, self.number, self.seconds, self.x = head, body, number, seconds, x
+    def __init__(self, head, body, number, seconds, x, label=None):
+        self.head, self.body, self.number, self.seconds, self.x, self.label = head, body, number, seconds, x, label
 
 
 def _ends_stop(before: str) -> bool:
@@ -57,7 +60,8 @@ def _ends_stop(before: str) -> bool:
 
 def candidates(text: str) -> list[Candidate]:
     """The candidates of a text with the features of each as the head of a turn."""
-    labels = speech.label_spans(text)
+    known = speech.label_spans(text)
+    labels = sorted([(*x, False) for x in known] + [(*x, True) for x in speech.numbered_spans(text)])
     if not labels:
         return []
     stamps = [(m.start(), m.end(), m.group()) for m in speech.TIMESTAMP.finditer(text)]
@@ -79,11 +83,11 @@ def candidates(text: str) -> list[Candidate]:
         return stamp_after.get(p)
 
     # Timestamps stand before the labels of a text or after them, as most of its labels show.
-    leading = sum(before(a) is not None for a, _, _ in labels) >= sum(after(b) is not None for _, b, _ in labels)
-    styles = [re.sub(r"\d+", "9", text[a:b]).strip() for a, b, _ in labels]
+    leading = sum(before(a) is not None for a, _, _ in known) >= sum(after(b) is not None for _, b, _ in known)
+    styles = [re.sub(r"\d+", "9", text[a:b]).strip() for a, b, *_ in labels]
     uses = Counter(styles)
     out = []
-    for k, (a, b, number) in enumerate(labels):
+    for k, (a, b, number, other) in enumerate(labels):
         head, body, seconds = a, b, None
         if leading and (hit := before(a)):
             head, seconds = hit[0], speech.timestamp_seconds(hit[1])
@@ -107,7 +111,11 @@ def candidates(text: str) -> list[Candidate]:
         x[_INDEX["mention"]] = not bracketed and not (stop or comma) and first.islower() and seconds is None
         x[_INDEX["timestamp" if seconds is not None else "no_timestamp"]] = 1
         x[_INDEX["style_repeats"]] = uses[styles[k]] > 1
-        out.append(Candidate(head, body, number, seconds, x))
+        x[_INDEX["other_word"]] = other
+        x[_INDEX["other_line_start"]] = other and line
+        x[_INDEX["other_timestamp"]] = other and seconds is not None
+        x[_INDEX["other_repeats"]] = other and uses[styles[k]] > 1
+        out.append(Candidate(head, body, number, seconds, x, (a, b)))
     return out
 
 
@@ -133,6 +141,14 @@ def _pause(x: np.ndarray, cands: list[Candidate], i: int) -> None:
         x[_INDEX["time_back"]] = gap < 0
 
 
+def _passed(c: Candidate) -> np.ndarray:
+    """Features that a candidate adds to the turn that passes over it."""
+    x = np.zeros(len(FEATURES))
+    for name, of in _INSIDE:
+        x[_INDEX[name]] += c.x[_INDEX[of]]
+    return x
+
+
 def _lattice(text: str, cands: list[Candidate]) -> list[tuple[int, int, np.ndarray]]:
     n = len(cands)
     return [(i, j, _span_features(text, cands, i, j)) for i in range(n) for j in range(i + 1, n + 1)]
@@ -222,6 +238,7 @@ def synthetic_transcripts(sentences: list[str], n: int = 200, seed: int = 7) ->
     rng = random.Random(seed)
     styles = ["<Speaker{}>: ", "<speaker {}>： ", "**Speaker {}:** ", "[speaker{}] ", "SPEAKER_0{}: ", "<Speaker{}> ", "spk_{}> ", "Speaker {}: ", "S{}: ", "说话人{}："]
     mentions = ["they asked Speaker {}: why", "as in S{}: above", "the note says Speaker {}: unknown voice"]
+    decoys = ["Part {}: ", "[{}] ", "see note {}) ", "Chapter {}: ", "({}) ", "Q{}: ", "room {}: ", "{}) ", "第{}: ", "v{}: ", "<{}> ", "**Day {}:** "]
     out = []
     for _ in range(n):
         main, text, truth, clock = rng.choice(styles), "", set(), 0.0
@@ -242,6 +259,9 @@ def synthetic_transcripts(sentences: list[str], n: int = 200, seed: int = 7) ->
                 body = rng.choice(["(hm)", "[music]", "um...", "", "yeah yeah yeah yeah yeah", body[: rng.randint(1, 30)], body.lower()])
             elif draw < 0.45:
                 body += " " + rng.choice(mentions).format(rng.randint(0, 3)) + "."
+            elif draw < 0.65:
+                place, told = rng.random(), rng.choice(decoys).format(rng.randint(0, 40))
+                body = told + body if place < 0.25 else f"{body}\n{told}{rng.choice(sentences)}" if place < 0.5 else f"{body} {told}{rng.choice(sentences)}"
             text += body
         out.append((text, truth))
     return out
@@ -270,10 +290,13 @@ def clean_turns(text: str | None, weights: np.ndarray) -> list[dict]:
     if not cands:
         return []
     starts = decode(text, cands, weights)
+    # The first candidate has none before it that could hold it: it starts a turn only if its own score says so.
+    if float(cands[starts[0]].x @ weights) < float(_passed(cands[starts[0]]) @ weights):
+        starts = starts[1:]
     blocks: list[tuple[float, list[dict]]] = []
     for k, i in enumerate(starts):
         end = cands[starts[k + 1]].head if k + 1 < len(starts) else len(text)
-        body = speech.LABEL.sub(" ", text[cands[i].body : end])
+        body = text[cands[i].body : end]
         turn = {"number": cands[i].number, "start_s": cands[i].seconds, "body": body}
         if cands[i].seconds is not None or not blocks:
             blocks.append((cands[i].seconds if cands[i].seconds is not None else -math.inf, [turn]))
@@ -281,7 +304,7 @@ def clean_turns(text: str | None, weights: np.ndarray) -> list[dict]:
             blocks[-1][1].append(turn)
     blocks.sort(key=lambda b: b[0])
     merged: list[dict] = []
-    numbers: dict[int, int] = {}
+    numbers: dict[str, int] = {}
     for _, turns in blocks:
         for t in turns:
             if not speech.clean_words(t["body"]):
@@ -299,9 +322,10 @@ def speaker_turns(df: DataFrame, samples: DataFrame, id_col: str = "row_id", tex
     """One row per clean turn: ``rec_key``, ``turn_no``, ``speaker_no``, ``start_s``, ``words``.
 
     ``samples`` (``text``) holds clean sentences for the fit, of which at most
-    ``max_samples`` are used.  Other columns of ``df`` are not carried.
+    ``max_samples``, chosen by hash, are used.  Other columns of ``df`` are not carried.
     """
-    sentences = [r.text for r in samples.select("text").where("text is not null").orderBy("text").limit(max_samples).collect()]
+    chosen = samples.select("text").where("text is not null").orderBy(F.xxhash64("text"), "text").limit(max_samples)
+    sentences = sorted(r.text for r in chosen.collect())
     weights = fit(sentences or ["A sentence stands here."])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -315,7 +339,7 @@ def speaker_turns(df: DataFrame, samples: DataFrame, id_col: str = "row_id", tex
 
     # A text without a digit has no label: such rows need not cross to Python.
     src = df.select(F.col(id_col).cast("string").alias("rec_key"), F.col(text_col).alias("text"))
-    src = src.where(F.col("text").rlike(r"\d"))
+    src = src.where(F.col("text").rlike(r"\p{Nd}"))
     return spread(src, "rec_key").mapInPandas(run, "rec_key string, turn_no long, speaker_no long, start_s double, words string")
 
 
