@@ -6,8 +6,8 @@ updates the gaps.  The streaming form (``voxloom.streaming.intervals``) keeps th
 map in the state store.  In a batch an entity may hold a third of all rows, so
 its map is cut along time: rows with the same start are first joined map-side,
 each stretch of ``BUCKET_MS`` has a map of its own of at most as many entries as
-it has milliseconds, and a window over one summary row per stretch carries
-overlaps across the cuts.
+it has milliseconds, and windows over a few numbers of each stretch carry
+overlaps and gaps across the cuts.
 """
 
 from __future__ import annotations
@@ -56,8 +56,8 @@ class IntervalMap:
         return [(e, s) for e, s in zip(self.ends, self.starts[1:]) if s - e <= longest]
 
 
-def clean_segments(df: DataFrame, entity: list[str], start: str = "start_time", end: str = "end_time", speaker: str | None = "spk_id") -> DataFrame:
-    """``entity..., start_ms, end_ms`` of the segments that count.
+def clean_segments(df: DataFrame, entity: list[str], start: str = "start_time", end: str = "end_time", speaker: str | None = "spk_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``entity..., start_ms, end_ms`` and the columns of ``keep`` of the segments that count.
 
     Left out are null and NaN times, ends not after the start, and null or blank
     speakers; a speaker counts without outer blanks and in lower case.
@@ -65,7 +65,7 @@ def clean_segments(df: DataFrame, entity: list[str], start: str = "start_time",
     s, e = F.col(start).cast("double"), F.col(end).cast("double")
     keys = [F.lower(F.regexp_replace(c, r"(?U)^\s+|(?<!\s)\s+$", "")).alias(c) if c == speaker else F.col(c) for c in entity]
     rows = df.where(s.isNotNull() & e.isNotNull() & ~F.isnan(s) & ~F.isnan(e) & (e > s)).select(
-        *keys, F.round(s * 1000).cast("long").alias("start_ms"), F.round(e * 1000).cast("long").alias("end_ms")
+        *keys, F.round(s * 1000).cast("long").alias("start_ms"), F.round(e * 1000).cast("long").alias("end_ms"), *keep
     )
     if speaker in entity:
         rows = rows.where(F.col(speaker) != "")
@@ -79,7 +79,7 @@ def _keyed(df: DataFrame, entity: list[str]) -> DataFrame:
 
 
 def _stretches(segments: DataFrame, entity: list[str], bucket_ms: int) -> DataFrame:
-    """``key, bucket, start_ms, end_ms``: the disjoint periods of each stretch of time, from an interval map."""
+    """``key, bucket, starts, ends``: the disjoint periods of each stretch of time in order, from an interval map."""
     # Rows with one start become one, before the shuffle and after it.
     firsts = segments.groupBy(*entity, "start_ms").agg(F.max("end_ms").alias("end_ms"))
     bucket = F.floor(F.col("start_ms") / bucket_ms).cast("long")
@@ -88,77 +88,78 @@ def _stretches(segments: DataFrame, entity: list[str], bucket_ms: int) -> DataFr
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The stretches come one after another; one map is held at a time."""
-        key, state, held = None, IntervalMap(), []
+        key, state, held, size = None, IntervalMap(), [], 0
         for pdf in batches:
             for *k, s, e in zip(*(pdf[c] for c in names), pdf["start_ms"], pdf["end_ms"]):
                 k = tuple(None if pd.isna(x) else x for x in k)
                 if k != key:
                     if key is not None:
-                        held.extend((*key, *p) for p in state.periods())
+                        held.append((*key, state.starts, state.ends))
+                        size += len(state.starts)
                     key, state = k, IntervalMap()
                 state.add(int(s), int(e))
-            if len(held) > 50_000:
-                yield pd.DataFrame(held, columns=[*names, "start_ms", "end_ms"])
-                held = []
+            if size > 50_000:
+                yield pd.DataFrame(held, columns=[*names, "starts", "ends"])
+                held, size = [], 0
         if key is not None:
-            held.extend((*key, *p) for p in state.periods())
-        yield pd.DataFrame(held, columns=[*names, "start_ms", "end_ms"])
+            held.append((*key, state.starts, state.ends))
+        yield pd.DataFrame(held, columns=[*names, "starts", "ends"])
 
     types = {f.name: f.dataType.simpleString() for f in keyed.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in names) + ", start_ms long, end_ms long"
-    return keyed.mapInPandas(local, schema)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in names) + ", starts array<long>, ends array<long>"
+    return _keyed(keyed.mapInPandas(local, schema), entity)
 
 
-def covered_periods(segments: DataFrame, entity: list[str], bucket_ms: int = BUCKET_MS) -> DataFrame:
-    """``entity..., start_ms, end_ms``: each longest stretch covered by an entity's segments, touching ones joined.
+SPAN = "array<struct<kind:string,start_ms:long,end_ms:long>>"
+
 
-    The periods of stretches are staged and joined across their cuts.  A window
-    over one row per stretch tells how far earlier stretches reach.  A period
-    that starts beyond that begins an island; the last island of a stretch ends
-    where the leading periods of the following stretches that belong to it end.
+def _spans(segments: DataFrame, entity: list[str], bucket_ms: int, longest: int) -> DataFrame:
+    """``entity..., kind, start_ms, end_ms`` of periods and gaps, each found once.
+
+    The maps of the stretches are staged.  A window over one number per stretch
+    tells how far earlier ones reach; what begins before that belongs to an
+    earlier period.  Periods and gaps between two starts of one stretch are
+    whole.  The last period of a stretch ends where the next stretch that begins
+    one of its own says, as far as everything before that start reaches, and the
+    gap behind it lies before that start; a second window, over the stretches
+    that begin a period, tells it.
     """
-    parts = stage(_keyed(_stretches(segments, entity, bucket_ms), entity), "periods")
-    earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    reach = parts.groupBy("key", "bucket").agg(F.max("end_ms").alias("far"))
-    carried = reach.select("key", "bucket", F.max("far").over(earlier).alias("carry"))
-    inside = Window.partitionBy("key", "bucket").orderBy("start_ms")
-    marked = parts.join(carried, ["key", "bucket"]).select(
-        "key", "bucket", "start_ms", "end_ms",
-        (F.col("carry").isNull() | (F.col("start_ms") > F.col("carry"))).alias("fresh"),
-        F.lead("start_ms").over(inside).alias("next_start"),
+    maps = stage(_stretches(segments, entity, bucket_ms), "stretches")
+    in_order = Window.partitionBy("key").orderBy("bucket")
+    far = maps.select("key", "bucket", F.get("ends", F.size("ends") - 1).alias("far"))
+    carried = far.select(
+        "key", "bucket", F.max("far").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("carry"),
+        F.max("far").over(Window.partitionBy("key")).alias("whole"),
+    )
+    # Starts and ends rise, so what an earlier period holds is the first n of them.
+    held = F.size(F.filter("starts", lambda x: x <= F.col("carry")))
+    joined = maps.join(carried, ["key", "bucket"]).withColumn("n", F.when(F.col("carry").isNull(), 0).otherwise(held))
+    joined = joined.where(F.col("n") < F.size("starts"))
+    last = F.size("starts") - 1
+    at = lambda c, i: F.get(F.col(c), i)
+    span = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("start_ms"), b.alias("end_ms"))
+    places = F.when(F.col("n") < last, F.sequence(F.col("n"), last - 1)).otherwise(F.array().cast("array<int>"))
+    gap = lambda a, b: F.when(b - a <= longest, span("gap", a, b))
+    inner = F.flatten(F.transform(places, lambda i: F.array(span("period", at("starts", i), at("ends", i)), gap(at("ends", i), at("starts", i + 1)))))
+    inside = joined.select("key", F.explode(F.filter(inner.cast(SPAN), lambda x: x.isNotNull())).alias("s"))
+    outer = joined.select(
+        "key", "bucket", "whole", at("starts", last).alias("start_ms"), at("starts", F.col("n")).alias("first"),
+        F.greatest("carry", at("ends", F.col("n") - 1)).alias("before"),
     )
-    # One row per stretch: the furthest end of its leading periods, and the run of stretches it belongs to.
-    # A run begins with a stretch that has an island of its own; that stretch's leading periods end the run before.
-    upto = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    runs = (
-        marked.groupBy("key", "bucket")
-        .agg(F.max(F.when(~F.col("fresh"), F.col("end_ms"))).alias("tail"), F.max(F.col("fresh").cast("long")).alias("own"))
-        .withColumn("run", F.sum("own").over(upto))
+    closed = outer.select(
+        "key", "start_ms", F.coalesce(F.lead("before").over(in_order), F.col("whole")).alias("end_ms"), F.lead("first").over(in_order).alias("next")
     )
-    tails = runs.groupBy("key", (F.col("run") - F.col("own")).alias("run")).agg(F.max("tail").alias("tail"))
-    ends = runs.where("own = 1").select("key", "bucket", "run").join(tails, ["key", "run"], "left").select("key", "bucket", "tail")
-    islands = marked.where("fresh").join(ends, ["key", "bucket"], "left")
-    end = F.when(F.col("next_start").isNull(), F.greatest("end_ms", F.coalesce("tail", "end_ms"))).otherwise(F.col("end_ms"))
-    return islands.select("key.*", "start_ms", end.alias("end_ms"))
+    ending = F.array(span("period", F.col("start_ms"), F.col("end_ms")), gap(F.col("end_ms"), F.col("next")))
+    across = closed.select("key", F.explode(F.filter(ending.cast(SPAN), lambda x: x.isNotNull())).alias("s"))
+    return inside.unionByName(across).select("key.*", "s.*")
 
 
-def period_gaps(periods: DataFrame, entity: list[str], longest: int = MAX_GAP_MS, bucket_ms: int = BUCKET_MS) -> DataFrame:
-    """``entity..., start_ms, end_ms`` of the gaps of at most ``longest`` between neighbouring periods.
-
-    The next period is looked for within a stretch of time; for the last one of
-    a stretch it is the first one of the next stretch that has any, which a
-    window over one row per stretch finds.
-    """
-    keyed = _keyed(periods, entity).withColumn("bucket", F.floor(F.col("start_ms") / bucket_ms).cast("long"))
-    inside = Window.partitionBy("key", "bucket").orderBy("start_ms")
-    step = keyed.withColumn("next_start", F.lead("start_ms").over(inside))
-    heads = keyed.groupBy("key", "bucket").agg(F.min("start_ms").alias("head"))
-    later = heads.select("key", "bucket", F.lead("head").over(Window.partitionBy("key").orderBy("bucket")).alias("later"))
-    gaps = step.join(later, ["key", "bucket"]).select("key.*", F.col("end_ms").alias("start_ms"), F.coalesce("next_start", "later").alias("end_ms"))
-    return gaps.where(F.col("end_ms").isNotNull() & (F.col("end_ms") - F.col("start_ms") <= longest))
+def covered_periods(segments: DataFrame, entity: list[str], bucket_ms: int = BUCKET_MS) -> DataFrame:
+    """``entity..., start_ms, end_ms``: each longest stretch covered by an entity's segments, touching ones joined."""
+    return _spans(segments, entity, bucket_ms, -1).drop("kind")
 
 
-def periods_and_gaps(df: DataFrame, entity: list[str] | None = None, speaker: str | None = "spk_id", longest: int = MAX_GAP_MS) -> DataFrame:
+def periods_and_gaps(df: DataFrame, entity: list[str] | None = None, speaker: str | None = "spk_id", longest: int = MAX_GAP_MS, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """``entity..., kind, start_ms, end_ms``: continuous periods and the gaps between them.
 
     An empty table gives no rows; columns beside the entity and the times are
@@ -166,7 +167,4 @@ def periods_and_gaps(df: DataFrame, entity: list[str] | None = None, speaker: st
     value of its own.
     """
     entity = entity or ["file_name", "spk_id"]
-    periods = covered_periods(clean_segments(df, entity, speaker=speaker), entity)
-    gaps = period_gaps(periods, entity, longest)
-    tag = lambda d, kind: d.select(*entity, F.lit(kind).alias("kind"), "start_ms", "end_ms")
-    return tag(periods, "period").unionByName(tag(gaps, "gap"))
+    return _spans(clean_segments(df, entity, speaker=speaker), entity, bucket_ms, longest).select(*entity, "kind", "start_ms", "end_ms")
