@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,10 @@ from pyspark.sql import functions as F
 PYTHON_WAVES = 3
 
 
+#: What the optimiser takes a relation of unknown size to have, or more.
+_UNKNOWN = 1 << 60
+
+
 def get_session(app: str = "voxloom", **conf: str) -> SparkSession:
     """A session for local use; on a cluster the one that exists is kept as it is."""
     builder = SparkSession.builder.appName(app)
@@ -52,18 +59,46 @@ def utc(column):
     return F.col(column).cast("timestamp") if isinstance(column, str) else column.cast("timestamp")
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the relations that a plan reads, from its statistics; nothing is run.
+
+    Rows that come from an RDD have no known size and count for one split a partition.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = 0
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        known = int(str(leaf.stats().sizeInBytes()))
+        total += known if known < _UNKNOWN else leaf.rdd().getNumPartitions() * split_bytes(df.sparkSession) if leaf.nodeName() == "LogicalRDD" else 0
+    return total
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Bytes that one split of an input may have."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
 def spread(df: DataFrame, *keys: str, waves: int = PYTHON_WAVES) -> DataFrame:
     """Give a Python-heavy stage enough partitions.
 
     A small input arrives in one or two splits and would keep one core busy.
-    An input that already has more splits than ``waves`` per core is left as it
-    is, so nothing is shuffled at scale.  ``keys`` must make the rows spread
-    evenly (a unique id); hashing them keeps a recomputed task identical.
+    An input whose size alone gives ``waves`` splits per core is left as it is,
+    so nothing is shuffled at scale.  ``keys`` must make the rows spread evenly
+    (a unique id); hashing them keeps a recomputed task identical.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores * waves:
+    parts = df.sparkSession.sparkContext.defaultParallelism * waves
+    if input_bytes(df) >= parts * split_bytes(df.sparkSession):
         return df
-    return df.repartition(cores * waves, *keys)
+    return df.repartition(parts, *keys)
+
+
+#: Folders of staged results of this driver that are still there.
+_STAGED: list[str] = []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -71,14 +106,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage like ``checkpoint()``, but computes the rows once and keeps
     them columnar, so later passes read only the columns they need.  The files
-    go when the JVM ends.
+    go when a ``staging`` block or the JVM ends.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/voxloom-{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder, removed like a staged result."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/voxloom-{name}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    _STAGED.append(path)
+    return path
+
+
+def mounted(path: str) -> str:
+    """A shared folder as the path under which every machine has it mounted, for files that Python writes."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Remove what is staged inside the block at its end, when the block's results are written."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        while len(_STAGED) > before:
+            _remove(spark, _STAGED.pop())
