@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,10 +107,38 @@ def value_chunks(values: Column, size: int) -> Column:
     return F.when(F.size(values) > 0, runs).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
 
 
+def _positions(mask: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(mask), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ones = pc.fill_null(pc.list_flatten(mask), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    run = np.concatenate([[0], np.cumsum(ones)])
+    out = np.where(ones == 0, 1, run[1:] - np.repeat(run[offsets[:-1]], sizes) - 1)
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out.astype(np.int32)), mask=mask.is_null())
+
+
 def mask_positions(mask: Column) -> Column:
-    """Running count of ones less one, and 1 where the mask is 0."""
-    run = F.transform(mask, lambda _, i: F.aggregate(F.slice(mask, 1, i + 1), F.lit(0), lambda a, x: a + x.cast("int")))
-    return F.zip_with(run, mask, lambda r, m: F.when(m.cast("int") == 0, 1).otherwise(r - 1))
+    """Running count of ones less one, and 1 where the mask is 0; null for null, and a null entry counts as 0."""
+    return F.arrow_udf(_positions, "array<int>")(mask.cast("array<int>"))
+
+
+def label_mask(ids: Column, prefix: Column, ignore: int = -100) -> Column:
+    """Labels of a training row: the ids, with the first ``prefix`` of them ignored."""
+    return F.transform(ids, lambda x, i: F.when(i < prefix, F.lit(ignore)).otherwise(x))
+
+
+def long_spans(spans: Column, least: float = 0.01) -> Column:
+    """Spans longer than ``least`` seconds."""
+    return F.filter(spans, lambda s: F.coalesce(s["end_time"] - s["start_time"] > least, F.lit(False)))
+
+
+def enough_alignments(alignments: Column, least: int = 2) -> Column:
+    """Whether a row has so many alignments; a null list has none."""
+    return F.coalesce(F.size(alignments) >= least, F.lit(False))
+
+
+def window_label(labels: Column, at: Column, size: float = 2.0) -> Column:
+    """The label of the window of ``size`` seconds that holds a moment; null beyond the last one."""
+    return F.get(labels, F.floor(at / size).cast("int"))
 
 
 def rttm_line(name: Column, start: Column, end: Column, speaker: Column, standard: bool = True) -> Column:

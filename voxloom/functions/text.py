@@ -1,11 +1,15 @@
 """Text functions: tokens, speech metrics, repetition, names of languages, model output.
 
-All are Column to Column and run in the JVM.  A null text counts as an empty one
+All are Column to Column and run in the JVM, but for the counts of repeated
+words, which are Arrow kernels over whole batches.  A null text counts as an empty one
 unless a function says otherwise.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -101,16 +105,56 @@ def characters_per_minute(text: Column, duration: Column) -> Column:
     return F.when(duration > 0, F.length(text) / duration * 60)
 
 
+def _codes(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a batch as numbers in one row, the list that each is of, and the lists' lengths."""
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(words)
+    codes = pc.fill_null(flat.dictionary_encode().indices, -1) if len(flat) else pa.array([], pa.int32())
+    return codes.to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(np.arange(len(sizes)), sizes), sizes
+
+
+def stutter_counts(words: pa.Array, window: int, times: int) -> pa.Array:
+    """Number of windows of each list in which some word stands ``times`` or more."""
+    codes, row, sizes = _codes(words)
+    if len(codes) < window:
+        return pa.array(np.zeros(len(sizes), np.int32))
+    frames = np.lib.stride_tricks.sliding_window_view(codes, window)
+    whole = row[: len(frames)] == row[window - 1 :]
+    hit = np.zeros(len(frames), bool)
+    # A word that fills `times` of the window's places is among its first window - times + 1.
+    for k in range(window - times + 1):
+        hit |= (frames == frames[:, k : k + 1]).sum(axis=1) >= times
+    return pa.array(np.bincount(row[: len(frames)][hit & whole], minlength=len(sizes)).astype(np.int32))
+
+
+def distinct_ngrams(words: pa.Array, n: int) -> pa.Array:
+    """Number of different runs of ``n`` words of each list."""
+    codes, row, sizes = _codes(words)
+    if len(codes) < n:
+        return pa.array(np.zeros(len(sizes), np.int32))
+    last, several = len(codes) - n + 1, int(codes.max()) + 2
+    gram = codes[:last] + 1
+    for k in range(1, n):
+        gram = np.unique(gram * several + codes[k : last + k] + 1, return_inverse=True)[1]
+    whole = row[:last] == row[n - 1 :]
+    kinds = int(gram.max()) + 1
+    once = np.unique(row[:last][whole] * kinds + gram[whole])
+    return pa.array(np.bincount(once // kinds, minlength=len(sizes)).astype(np.int32))
+
+
+def _counts(kernel, *args: int):
+    """An Arrow function of a column of word lists; one batch at a time, without a loop over rows."""
+
+    def run(words: pa.Array) -> pa.Array:
+        return kernel(words, *args)
+
+    return F.arrow_udf(run, "int")
+
+
 def word_repetition(words: Column, window: int = 5, times: int = 3) -> Column:
     """Share of sliding windows that hold some word ``times`` or more, to four places; 0 for fewer words than a window."""
     n = F.size(words)
-    # A word that fills `times` of the window's places is among its first window - times + 1.
-    def stutters(i):
-        frame = F.slice(words, i, window)
-        return F.exists(F.slice(words, i, window - times + 1), lambda x: F.size(F.filter(frame, lambda y: y == x)) >= times)
-
-    count = F.size(F.filter(F.sequence(F.lit(1), n - (window - 1)), stutters))
-    return F.when(n >= window, F.round(count / (n - (window - 1)), 4)).otherwise(F.lit(0.0))
+    return F.when(n >= window, F.round(_counts(stutter_counts, window, times)(words) / (n - (window - 1)), 4)).otherwise(F.lit(0.0))
 
 
 def ngrams(words: Column, n: int = 3) -> Column:
@@ -121,8 +165,8 @@ def ngrams(words: Column, n: int = 3) -> Column:
 
 def redundancy(words: Column, n: int = 3) -> Column:
     """Share of n-grams that repeat another one, to four places; 0 for fewer words than n."""
-    grams = ngrams(words, n)
-    return F.when(F.size(words) >= n, F.round((F.size(grams) - F.size(F.array_distinct(grams))) / F.size(grams), 4)).otherwise(F.lit(0.0))
+    total = F.size(words) - (n - 1)
+    return F.when(F.size(words) >= n, F.round((total - _counts(distinct_ngrams, n)(words)) / total, 4)).otherwise(F.lit(0.0))
 
 
 def quality_tier(wpm: Column, speech_ratio: Column, repetition: Column, redundant: Column, lang: Column) -> Column:
@@ -310,6 +354,18 @@ def generated_id(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix + "_"), number.cast("string"))
 
 
+def first_element(values: Column, fallback: Column) -> Column:
+    """The first element of a list; ``fallback`` for a null or empty list and for a null element."""
+    return F.coalesce(F.get(values, F.lit(0)), fallback)
+
+
+def override_map(base: Column, other: Column) -> Column:
+    """A map with the entries of another one put over its own; a null map counts as empty."""
+    kind = "map<string,string>"
+    own, new = F.coalesce(base, F.create_map().cast(kind)), F.coalesce(other, F.create_map().cast(kind))
+    return F.map_concat(F.map_filter(own, lambda k, _: ~F.map_contains_key(new, k)), new)
+
+
 # ---------------------------------------------------------------- merging of chunks
 def merge_texts(parts: Column, separator: str = " ") -> Column:
     """Ordered chunk texts joined, empty and null ones left out."""

@@ -9,18 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from voxloom.functions.binding import let
+
 _STRICT = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
 
 
 def json_body(raw: Column, repair: bool = False) -> Column:
     """The text from the first to the last brace, or all of it, without code fences; one missing brace closed where asked."""
-    found = F.regexp_extract(raw, r"(?s)\{.*\}", 0)
-    body = F.when(found != "", found).otherwise(raw)
-    body = F.regexp_replace(F.regexp_replace(body, "```json|```", ""), r"(?U)^\s+|(?<!\s)\s+$", "")
-    if repair:
-        count = lambda c: F.length(body) - F.length(F.replace(body, F.lit(c), F.lit("")))
-        body = F.when(count("{") > count("}"), F.concat(body, F.lit("}"))).otherwise(body)
-    return body
+    found = let(F.regexp_extract(raw, r"(?s)\{.*\}", 0), lambda x: F.when(x != "", x).otherwise(raw))
+    body = F.regexp_replace(F.regexp_replace(found, "```json|```", ""), r"(?U)^\s+|(?<!\s)\s+$", "")
+    if not repair:
+        return body
+
+    def closed(text: Column) -> Column:
+        count = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
+        return F.when(count("{") > count("}"), F.concat(text, F.lit("}"))).otherwise(text)
+
+    return let(body, closed)
 
 
 def single_object(body: Column) -> Column:
@@ -31,20 +36,38 @@ def single_object(body: Column) -> Column:
     """
     # Escapes go first, so that a string is a run without quotes, which the JVM matches without recursion.
     flat = F.regexp_replace(F.regexp_replace(body, r"(?s)\\.", ""), r'"[^"]*+"', "0")
-    marks = F.split(F.regexp_replace(flat, r"[^{}\[\]]", ""), "")
     step = lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("closed"))
     after = lambda s, c: F.struct((s["depth"] + step(c)).alias("depth"), (s["closed"] + F.when((c != "") & (s["depth"] + step(c) == 0), 1).otherwise(0)).alias("closed"))
-    end = F.aggregate(marks, start, after)
-    return flat.rlike(r"^\s*\{") & flat.rlike(r"\}\s*$") & (end["depth"] == 0) & (end["closed"] == 1)
+
+    def whole(text: Column) -> Column:
+        end = F.aggregate(F.split(F.regexp_replace(text, r"[^{}\[\]]", ""), ""), start, after)
+        return text.rlike(r"^\s*\{") & text.rlike(r"\}\s*$") & let(end, lambda e: (e["depth"] == 0) & (e["closed"] == 1))
+
+    return let(flat, whole)
 
 
 def json_field(raw: Column, field: str, repair: bool = False) -> Column:
-    """Struct of ``parsed`` and ``value``: whether the answer is one valid object, and a field of it as text."""
-    body = json_body(raw, repair)
-    row = F.from_json(body, f"`{field}` STRING, _bad STRING", {**_STRICT, "columnNameOfCorruptRecord": "_bad"})
-    parsed = row.isNotNull() & row["_bad"].isNull() & single_object(body)
-    return F.struct(F.coalesce(parsed, F.lit(False)).alias("parsed"), F.when(parsed, row[field]).alias("value"))
+    """Struct of ``parsed``, ``value`` and ``null``: whether the answer is one valid object, a field of it as text, and whether that is a JSON null.
+
+    The body is taken out, parsed and held to be one object once for each row.
+    """
+    schema = f"`{field}` STRING, _bad STRING"
+
+    def read(body: Column) -> Column:
+        def fields(row: Column) -> Column:
+            parsed = F.coalesce(row.isNotNull() & row["_bad"].isNull() & single_object(body), F.lit(False))
+            return let(
+                parsed,
+                lambda ok: F.struct(
+                    ok.alias("parsed"), F.when(ok, row[field]).alias("value"),
+                    (ok & row[field].isNull() & F.coalesce(body.rlike(rf'"{field}"\s*:\s*null'), F.lit(False))).alias("null"),
+                ),
+            )
+
+        return let(F.from_json(body, schema, {**_STRICT, "columnNameOfCorruptRecord": "_bad"}), fields)
+
+    return let(json_body(raw, repair), read)
 
 
 def _spelt(raw: Column, verdict: str) -> Column:
@@ -69,19 +92,21 @@ def verdict(
     spellings of ``search``; ``fallback_when_missing`` searches also where the
     parsed answer has no verdict.
     """
-    got = json_field(raw, "Verdict", repair)
-    null = got["parsed"] & got["value"].isNull() & json_body(raw, repair).rlike(r'"Verdict"\s*:\s*null')
-    value = F.when(null, F.lit("NONE")).otherwise(F.upper(F.coalesce(got["value"], F.lit(""))))
     found = None
     for word in search:
         hit = _spelt(raw, word)
         found = F.when(hit, word) if found is None else found.when(hit, word)
     searched = F.lit(on_missing) if found is None else found.otherwise(F.lit(on_missing))
-    parsed = value
-    if contains:
+
+    def told(got: Column) -> Column:
+        value = F.when(got["null"], F.lit("NONE")).otherwise(F.upper(F.coalesce(got["value"], F.lit(""))))
+        if not contains:
+            return F.when(got["parsed"], value).otherwise(searched)
         other = searched if fallback_when_missing else F.lit(on_missing)
-        parsed = F.when(value.contains("KEEP"), "KEEP").when(value.contains("DISCARD"), "DISCARD").otherwise(other)
-    return F.when(F.coalesce(raw, F.lit("")) == "", F.lit(on_empty)).when(got["parsed"], parsed).otherwise(searched)
+        reduced = let(value, lambda v: F.when(v.contains("KEEP"), "KEEP").when(v.contains("DISCARD"), "DISCARD").otherwise(other))
+        return F.when(got["parsed"], reduced).otherwise(searched)
+
+    return F.when(F.coalesce(raw, F.lit("")) == "", F.lit(on_empty)).otherwise(let(json_field(raw, "Verdict", repair), told))
 
 
 def report_verdict(raw: Column) -> Column:
@@ -101,12 +126,21 @@ def audit_verdict(raw: Column) -> Column:
 
 def answer_labels(raw: Column, field: str = "Emotion_Label") -> Column:
     """A list field in lower case; a scalar as a list of one; empty where there is none or parsing fails."""
-    got = json_field(raw, field)
-    value = got["value"]
-    as_list = F.from_json(value, "array<string>")
-    listed = value.rlike(r"^\s*\[")
-    labels = F.when(value.isNull(), F.array().cast("array<string>")).when(listed, F.coalesce(as_list, F.array(value))).otherwise(F.array(value))
-    return F.transform(labels, F.lower)
+
+    def labels(got: Column) -> Column:
+        value = got["value"]
+        listed = F.coalesce(F.from_json(value, "array<string>"), F.array(value))
+        return F.when(value.isNull(), F.array().cast("array<string>")).when(value.rlike(r"^\s*\["), listed).otherwise(F.array(value))
+
+    return F.transform(let(json_field(raw, field), labels), F.lower)
+
+
+def json_argument(value: Column) -> Column:
+    """Map of the fields of a JSON object given as a string, values as text; null where it is anything but one object."""
+    return let(
+        F.trim(value),
+        lambda v: F.when(single_object(v) & F.coalesce(F.try_parse_json(v).isNotNull(), F.lit(False)), F.from_json(v, "map<string,string>")),
+    )
 
 
 def answer_is_true(raw: Column, marker: str = "Transcript:") -> Column:
