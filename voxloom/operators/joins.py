@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.session import stage
+from voxloom.session import input_bytes, split_bytes, stage
 
 
 def last_by(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
@@ -45,21 +45,43 @@ def stem_join(left: DataFrame, right: DataFrame, left_id: Column, right_id: Colu
 def numbered(df: DataFrame, order: list[Column], name: str = "position", by: list[str] | None = None, parts: int | None = None) -> DataFrame:
     """Rows numbered from 0 in a given order, without one task that holds them all.
 
-    Groups of ``by`` are numbered in a window.  Without groups the rows are
-    range-partitioned by the order, numbered in each range, and moved by the
-    ranges' sizes, of which there is one row each.
+    The rows are range-partitioned by the order, numbered in each range, and
+    moved by the ranges' sizes, of which there is one row each.  Within groups
+    of ``by`` they are ordered by group first, and numbered from the group's
+    first row, so a hot group spreads over many ranges.
     """
-    if by:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("long"))
-    n = parts or df.sparkSession.sparkContext.defaultParallelism
-    # Staged, since both readings below must see the same ranges.
-    ranged = stage(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranges")
-    inside = Window.partitionBy("_part").orderBy(*order)
+    spark = df.sparkSession
+    # Ranges of about one split, from what the plan reads; a core has one at least.
+    n = parts or max(spark.sparkContext.defaultParallelism, input_bytes(df) // split_bytes(spark))
+    full = [*[F.col(c) for c in by or []], *order]
+    # Staged, since the readings below must see the same ranges.
+    ranged = stage(df.repartitionByRange(int(n), *full).withColumn("_part", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("_part").orderBy(*full)
     local = ranged.withColumn("_in", (F.row_number().over(inside) - 1).cast("long"))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_before"))
     # One row per range.
-    return local.join(F.broadcast(before), "_part").withColumn(name, F.col("_in") + F.col("_before")).drop("_part", "_in", "_before")
+    placed = local.join(F.broadcast(before), "_part").withColumn(name, F.col("_in") + F.col("_before")).drop("_part", "_in", "_before")
+    if not by:
+        return placed
+    group = F.struct(*by)
+    firsts = placed.groupBy(group.alias("_g")).agg(F.min(name).alias("_first"))
+    return placed.withColumn("_g", group).join(firsts, "_g").withColumn(name, F.col(name) - F.col("_first")).drop("_g", "_first")
+
+
+def at_ranks(df: DataFrame, group: str, value: str, shares: list[float]) -> DataFrame:
+    """``group, share, quantile``: interpolated quantiles of each group, exact, without one task that holds a group.
+
+    Values are numbered within their group over all ranges, and only the two
+    neighbours of each share's place are read; nulls do not count.
+    """
+    kept = df.where(F.col(value).isNotNull()).select(group, value)
+    placed = stage(numbered(kept, [F.col(value)], "_p", by=[group]), "ranks")
+    sizes = placed.groupBy(group).agg((F.max("_p") + 1).alias("_n"))
+    wanted = sizes.select(group, F.explode(F.array(*[F.lit(x) for x in shares])).alias("share"), "_n").withColumn("_at", F.col("share") * (F.col("_n") - 1))
+    ends = wanted.select(group, "share", "_at", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_p"))
+    low, high = F.min(value), F.max(value)
+    return ends.join(placed, [group, "_p"]).groupBy(group, "share").agg((low + (high - low) * (F.first("_at") - F.floor(F.first("_at")))).alias("quantile"))
 
 
 def zip_join(left: DataFrame, right: DataFrame, left_order: list[Column], right_order: list[Column], position: str = "position") -> DataFrame:
@@ -125,3 +147,31 @@ def head(df: DataFrame, order: list[Column], n: int) -> DataFrame:
 def batches(df: DataFrame, position: str, size: int) -> DataFrame:
     """The batch of each row by its position."""
     return df.withColumn("batch", F.floor(F.col(position) / size).cast("long"))
+
+
+def unfinished_batches(todo: DataFrame, done: DataFrame, key: str, position: str, size: int, complete: Column | None = None) -> DataFrame:
+    """All rows of the batches of which not every row is done; a batch that is partly done is done again whole."""
+    numbered_ = batches(todo, position, size)
+    open_ = unfinished(numbered_, done, key, complete).select("batch").distinct()
+    return numbered_.join(open_, "batch", "left_semi")
+
+
+def constant_or_per_row(df: DataFrame, name: str, values: str | list | None, position: str) -> DataFrame:
+    """One value for all rows, or one for each row by its position from 0; a list of another length than the rows is refused."""
+    if values is None or isinstance(values, str):
+        return df.withColumn(name, F.lit(values))
+    n = df.count()
+    if len(values) != n:
+        raise ValueError(f"{name} has {len(values)} values for {n} rows")
+    spark = df.sparkSession
+    return df.join(spark.createDataFrame(list(enumerate(values)), f"{position} long, {name} string"), position, "left")
+
+
+def row_at(df: DataFrame, position: str, n: int) -> DataFrame:
+    """The row of one position; none where there is no such row."""
+    return df.where(F.col(position) == n)
+
+
+def with_key(df: DataFrame, key: str, value: Column) -> DataFrame:
+    """A key column written over by another value."""
+    return df.withColumn(key, value)

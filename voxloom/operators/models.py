@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.functions.spans import segment_struct
+
 
 @dataclass
 class BatchModel:
@@ -75,6 +77,17 @@ def apply_model(df: DataFrame, model: BatchModel, input_col: str, output_col: st
     return df.mapInPandas(run, f"{schema}, `{output_col}` {model.result_type}, `{output_col}_error` string, `{output_col}_model` string")
 
 
+def diarize(audio: DataFrame, model: BatchModel, id_col: str, samples: str) -> DataFrame:
+    """``file_name, seg_id, start_time, end_time, spk_id`` of a model that answers each waveform with lines ``start end speaker``.
+
+    Lines that are not of that form are left out; a null waveform gives none.
+    """
+    answered = apply_model(audio.select(F.col(id_col).cast("string").alias("file_name"), F.col(samples).alias("wav")), model, "wav", "lines")
+    rows = answered.select("file_name", F.posexplode("lines").alias("p", "line")).select("file_name", "p", segment_struct(F.col("line")).alias("s"))
+    good = rows.where(F.col("s.start_time").isNotNull() & F.col("s.end_time").isNotNull() & F.col("s.speaker").isNotNull())
+    return good.select("file_name", F.col("p").cast("long").alias("seg_id"), "s.start_time", "s.end_time", F.col("s.speaker").alias("spk_id"))
+
+
 @dataclass
 class Recogniser:
     """The recognition pipeline over recorded or real models: chunks, answers, languages, spans, whole recordings."""

@@ -84,10 +84,18 @@ def gap_sessions(rows: DataFrame, key: str, at: Column, gap: float) -> DataFrame
     return step.withColumn("session", F.sum("_new").over(running).cast("long")).drop("_new")
 
 
-def running_reach(segments: DataFrame, file: str, start: str = "start_time", end: str = "end_time") -> DataFrame:
-    """Each segment with ``reach``, the furthest end up to it in order of start."""
-    w = Window.partitionBy(file).orderBy(start, end).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return segments.withColumn("reach", F.max(end).over(w))
+def running_reach(segments: DataFrame, file: str, start: str = "start_time", end: str = "end_time", bucket: float = 600.0) -> DataFrame:
+    """Each segment with ``reach``, the furthest end up to it in order of start.
+
+    Within a stretch of ``bucket`` seconds by a window; how far the stretches
+    before reach, by a window over one row for each, so no task holds a file.
+    """
+    cut = segments.withColumn("_b", F.floor(F.col(start) / bucket).cast("long"))
+    before = Window.partitionBy(file).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.groupBy(file, "_b").agg(F.max(end).alias("_far")).select(F.col(file).alias("_f"), F.col("_b").alias("_c"), F.max("_far").over(before).alias("_carry"))
+    inside = Window.partitionBy(file, "_b").orderBy(start, end).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = cut.join(carried, F.col(file).eqNullSafe(F.col("_f")) & F.col("_b").eqNullSafe(F.col("_c")), "left")
+    return joined.withColumn("reach", F.greatest(F.max(end).over(inside), F.col("_carry"))).drop("_b", "_f", "_c", "_carry")
 
 
 def file_summary(segments: DataFrame, file: str = "file_name", start: str = "start_time", end: str = "end_time", speaker: str = "spk_id") -> DataFrame:

@@ -6,6 +6,7 @@ pauses and overlaps, so sessions can be made anywhere and again.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -15,9 +16,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.functions.spans import rttm_line
 from voxloom.operators import joins
+from voxloom.operators.audio import half_window
 from voxloom.session import stage
 
+
 @dataclass(frozen=True)
 class SessionConfig:
     """Settings of a simulation; wrong ones are refused when it is made."""
@@ -216,6 +220,97 @@ def simulate_sessions(spark: SparkSession, manifest: DataFrame, config: SessionC
         pending, draws = pending.join(short, "session", "left_semi"), draws * 4
 
 
+def session_waveforms(sessions: DataFrame, clips: DataFrame, config: SessionConfig, rate: int = 16_000, fade: float = 0.01, window: str = "hamming") -> DataFrame:
+    """``session, wav``: the sound of each session, as long as the session's settings say.
+
+    ``clips`` has one waveform (``wav``) of each ``speaker``, from which each
+    sentence takes its own part, round and round; a sentence's ends are faded by
+    half windows, its volume set, and overlaps added up.  A session's rows are
+    bounded by its length.  A speaker without a clip is silent.
+    """
+    size = int(config.seconds * rate)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, used = np.zeros(size), {}
+        for r in pdf.sort_values("turn").itertuples():
+            a, b = int(r.start_time * rate), min(size, int(r.end_time * rate))
+            if b <= a or r.wav is None or not len(r.wav):
+                continue
+            clip, at = np.asarray(r.wav, dtype=np.float64), used.get(r.speaker, 0)
+            part = np.take(clip, np.arange(at, at + b - a), mode="wrap") * r.volume
+            used[r.speaker] = (at + b - a) % len(clip)
+            n = min(int(fade * rate), (b - a) // 2)
+            if n:
+                part[:n] *= half_window(n, window)
+                part[-n:] *= half_window(n, window, start=False)
+            out[a:b] += part
+        return pd.DataFrame({"session": [int(pdf["session"].iloc[0])], "wav": [out.astype(np.float32)]})
+
+    named = clips.select("speaker", "wav").dropDuplicates(["speaker"])
+    rows = sessions.select("session", "turn", "speaker", "start_time", "end_time", "volume").join(named, "speaker", "left")
+    return rows.groupBy("session").applyInPandas(run, "session long, wav array<float>")
+
+
+def with_noise(sessions: DataFrame, noise: DataFrame, snr_db: float, samples: str = "wav") -> DataFrame:
+    """Sessions with background noise at a ratio of powers; ``noise`` has waveforms numbered from 0 in ``noise_no``, of which each session takes one by its number."""
+    n = noise.count()
+    if not n:
+        return sessions
+    picked = noise.select("noise_no", F.col(samples).alias("_noise"))
+    joined = sessions.withColumn("noise_no", F.pmod(F.col("session"), F.lit(n))).join(picked, "noise_no", "left")
+    return joined.withColumn(samples, at_snr(F.col(samples), F.col("_noise"), snr_db)).drop("_noise", "noise_no")
+
+
+def session_rttm(sessions: DataFrame) -> DataFrame:
+    """One RTTM line for each sentence, with the session's name and the sentence's number."""
+    name = F.format_string("session_%d", "session")
+    return sessions.select("session", "turn", rttm_line(name, F.col("start_time"), F.col("end_time"), F.col("speaker")).alias("value"))
+
+
+def session_json(sessions: DataFrame) -> DataFrame:
+    """One JSON object for each sentence: file, offset, duration, speaker and words."""
+    entry = F.struct(
+        F.format_string("session_%d.wav", "session").alias("audio_filepath"), F.col("start_time").alias("offset"),
+        F.round(F.col("end_time") - F.col("start_time"), 3).alias("duration"), F.col("speaker").alias("label"), F.array_join("words", " ").alias("text"),
+    )
+    return sessions.select("session", "turn", F.to_json(entry).alias("value"))
+
+
+def annotations(sessions: DataFrame, config: SessionConfig, folder: str) -> list[str]:
+    """Write RTTM, JSON and CTM lines, the lists of files and ``params.yaml`` under a folder; gives the paths."""
+    kinds = {"rttm": session_rttm(sessions), "json": session_json(sessions), "ctm": ctm_lines(sessions)}
+    at = folder.rstrip("/")
+    for kind, lines in kinds.items():
+        lines.orderBy("session", "turn", *(["p"] if kind == "ctm" else [])).select("value").write.mode("overwrite").text(f"{at}/{kind}")
+    names = sessions.select("session").distinct().orderBy("session")
+    for kind in ("wav", *kinds):
+        names.select(F.concat(F.lit(f"{at}/{kind}/"), F.format_string(f"session_%d.{kind}", "session")).alias("value")).write.mode("overwrite").text(f"{at}/{kind}_list")
+    params = "".join(f"{k}: {v}\n" for k, v in sorted(config.__dict__.items())).rstrip("\n")
+    sessions.sparkSession.createDataFrame([(params,)], "value string").coalesce(1).write.mode("overwrite").text(f"{at}/params.yaml")
+    return [*(f"{at}/{k}" for k in kinds), *(f"{at}/{k}_list" for k in ("wav", *kinds)), f"{at}/params.yaml"]
+
+
+def room_response(size: tuple[float, float, float], source: tuple[float, float, float], microphone: tuple[float, float, float], rate: int = 16_000, absorption: float = 0.4, order: int = 3, speed: float = 343.0) -> np.ndarray:
+    """Impulse response of a box-shaped room by mirror images of the source up to an order of reflections.
+
+    Every image adds an impulse at its distance over the speed of sound, weaker
+    by the distance and by the walls it was mirrored in.
+    """
+    reflect, reach = np.sqrt(1.0 - absorption), range(-order, order + 1)
+    hits: list[tuple[int, float]] = []
+    for counts in itertools.product(reach, repeat=3):
+        walls = sum(abs(k) for k in counts)
+        if walls > order:
+            continue
+        image = [k * x + (s if k % 2 == 0 else x - s) for k, x, s in zip(counts, size, source)]
+        distance = max(0.1, float(np.linalg.norm(np.subtract(image, microphone))))
+        hits.append((round(distance / speed * rate), reflect**walls / (4 * np.pi * distance)))
+    out = np.zeros(max(k for k, _ in hits) + 1)
+    for k, gain in hits:
+        out[k] += gain
+    return out
+
+
 def ctm_lines(sessions: DataFrame) -> DataFrame:
     """One CTM line for each word: session, channel, start, length, word."""
     word = sessions.select("session", "turn", "start_time", F.posexplode(F.arrays_zip("words", "word_ends")).alias("p", "w"), "word_ends")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import spans as S
-from voxloom.operators import align, audio, models, reports, segments, simulate
+from voxloom.operators import align, audio, joins, models, reports, segments, simulate
 from voxloom.plans.registry import query
 from voxloom.session import read_table, utc
 from voxloom.streaming import rechunk, windows
@@ -80,11 +80,13 @@ def event_series(spark, sf):
   SELECT event_type, round(quantile_cont(value, 0.95) - quantile_cont(value, 0.05), 6) AS pitch_range, round(median(value), 6) AS middle, round(stddev_pop(value), 6) AS spread,
          max(value) - min(value) AS full_range FROM events GROUP BY 1""")
 def value_spread(spark, sf):
-    """Percentile range, median, population deviation and full range."""
-    v = F.col("value")
-    return read_table(spark, sf, "events").groupBy("event_type").agg(
-        F.round(F.percentile(v, 0.95) - F.percentile(v, 0.05), 6).alias("pitch_range"), F.round(F.median(v), 6).alias("middle"), F.round(F.stddev_pop(v), 6).alias("spread"), (F.max(v) - F.min(v)).alias("full_range")
-    )
+    """Percentile range, median, population deviation and full range; quantiles by numbering, so no task holds a type."""
+    v, events = F.col("value"), read_table(spark, sf, "events")
+    ranks = joins.at_ranks(events, "event_type", "value", [0.05, 0.5, 0.95])
+    of = lambda q: F.max(F.when(F.col("share") == q, F.col("quantile")))
+    quantiles = ranks.groupBy("event_type").agg(F.round(of(0.95) - of(0.05), 6).alias("pitch_range"), F.round(of(0.5), 6).alias("middle"))
+    moments = events.groupBy("event_type").agg(F.round(F.stddev_pop(v), 6).alias("spread"), (F.max(v) - F.min(v)).alias("full_range"))
+    return moments.join(quantiles, "event_type", "left").select("event_type", "pitch_range", "middle", "spread", "full_range")
 
 
 @query(r"""
@@ -106,9 +108,7 @@ def model_answers(spark, sf):
     """A batch model over all texts; here one that answers in capitals."""
     model = models.BatchModel("capitals", lambda: str.upper, lambda f, xs: [f(x) for x in xs], batch_size=64)
     rows = read_table(spark, sf, "feature_rows").where("text is not null").select("row_id", "text")
-    # Python and the JVM differ in the capitals of a few letters; the JVM's are taken where the model answered.
-    answered = models.apply_model(rows, model, "text", "answer").where("answer_error is null")
-    return answered.select("row_id", F.upper("text").alias("answer"))
+    return models.apply_model(rows, model, "text", "answer").where("answer_error is null").select("row_id", "answer")
 
 
 @query()

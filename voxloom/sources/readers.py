@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import struct
 import wave
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,16 @@ def flat_samples(samples: DataFrame) -> DataFrame:
     )
 
 
+def cast_audio(flat: DataFrame, rate: int = RATE) -> DataFrame:
+    """Flat samples at one rate: each waveform mono and resampled from its own ``sr``; a row without audio keeps nulls."""
+
+    @F.pandas_udf("array<float>")
+    def cast(waves: pd.Series, rates: pd.Series) -> pd.Series:
+        return pd.Series([None if w is None or pd.isna(r) else resample_linear(np.asarray(w, dtype=np.float32), int(r), rate).tolist() for w, r in zip(waves, rates)])
+
+    return flat.withColumn("wav", cast("wav", "sr")).withColumn("sr", F.when(F.col("wav").isNotNull(), F.lit(rate)))
+
+
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files that hold a JSON array of objects or a single object, with the name of each row's file."""
     read = lambda: spark.read.schema(schema).json(path, multiLine=True).select("*", F.col("_metadata.file_name").alias("file"))
@@ -51,11 +61,22 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
-    """One JSON object on each line; blank lines are skipped, broken ones too unless ``strict``."""
+    """One JSON object on each line; blank lines are skipped, broken ones too unless ``strict`` (``broken_lines`` has them)."""
     mode = "FAILFAST" if strict else "DROPMALFORMED"
     return guarded(spark, path, schema, lambda: spark.read.schema(schema).option("mode", mode).json(path))
 
 
+def broken_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``file, line``: the lines that are neither blank nor an object of the schema, so that none is lost unseen."""
+    bad = lambda: (
+        spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+        .where(F.trim("line") != "")
+        .withColumn("_row", F.from_json("line", f"{schema}, _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+        .where(F.col("_row._bad").isNotNull() | F.col("_row").isNull()).drop("_row")
+    )
+    return guarded(spark, path, "file STRING, line STRING", bad)
+
+
 def json_splits(spark: SparkSession, schema: str = schemas.FINETUNE_ROW, **paths: str) -> DataFrame:
     """Several JSON-lines files in one table, named by ``split``."""
     frames = [json_lines(spark, p, schema).withColumn("split", F.lit(name)) for name, p in paths.items()]
@@ -110,6 +131,13 @@ def file_listing(spark: SparkSession, path: str, pattern: str | None = None, rec
     return guarded(spark, path, schema, read)
 
 
+def sorted_listing(listing: DataFrame) -> DataFrame:
+    """A listing in order of its paths, numbered from 0 in ``position``."""
+    from voxloom.operators.joins import numbered
+
+    return numbered(listing, [F.col("path")]).orderBy("path")
+
+
 def decode_wav(data: bytes, rate: int = RATE) -> np.ndarray:
     """Samples of a PCM WAV file: mono floats at the wanted rate."""
     with wave.open(io.BytesIO(data)) as f:
@@ -174,6 +202,34 @@ def base64_audio(value: Column) -> Column:
     return F.try_to_binary(F.regexp_replace(value, r"^data:audio[^,]*,", ""), F.lit("base64"))
 
 
+def referenced_audio(rows: DataFrame, value: str, fetch: Callable[[str], bytes], rate: int = RATE) -> DataFrame:
+    """The rows with ``kind``, ``wav`` and ``error`` of audio named by a URL, base64 or a path.
+
+    ``fetch`` gives the bytes of a URL or path; it runs in the workers, and what
+    it raises is the row's error.  A null reference gives nulls.
+    """
+    from voxloom.functions.text import input_kind
+
+    named = rows.withColumn("kind", F.when(F.col(value).isNotNull(), input_kind(F.col(value)))).withColumn("_held", F.when(F.col("kind") == "base64", base64_audio(F.col(value))))
+    names = [f.name for f in named.schema.fields if f.name != "_held"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for ref, kind, held in zip(pdf[value], pdf["kind"], pdf["_held"]):
+                wav = error = None
+                if ref is not None:
+                    try:
+                        wav = decode_wav(bytes(held) if kind == "base64" else fetch(ref), rate)
+                    except Exception as e:  # noqa: BLE001
+                        error = f"{type(e).__name__}: {e}"
+                out.append((wav, error))
+            yield pdf[names].assign(wav=[w for w, _ in out], error=[e for _, e in out])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields if f.name != "_held")
+    return named.mapInPandas(run, f"{schema}, wav array<float>, error string")
+
+
 def in_memory(spark: SparkSession, arrays: list[tuple[np.ndarray, int]]) -> DataFrame:
     """Waveforms held by the caller, mono, with their rates."""
     rows = [(i, to_mono(x).astype(float).tolist(), int(sr)) for i, (x, sr) in enumerate(arrays)]

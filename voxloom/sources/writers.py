@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html
+import json
 import os
 import shutil
 from collections.abc import Iterator
@@ -95,11 +97,50 @@ def audit_copies(rows: DataFrame, folder: str, index: str = "index", audio_id: s
     return src.mapInPandas(run, "index long, audio_id string, path string")
 
 
-def archive(folder: str, target: str) -> str:
-    """A zip file of a folder, with the path of it."""
+def archive(folder: str, target: str, metadata: dict | None = None) -> str:
+    """A zip file of a local folder, with ``metadata.json`` in it where there is some; gives its path."""
+    if metadata is not None:
+        with open(os.path.join(folder, "metadata.json"), "w", encoding="utf-8") as f:
+            json.dump(metadata, f, ensure_ascii=False, indent=2, sort_keys=True)
     return shutil.make_archive(target.removesuffix(".zip"), "zip", folder)
 
 
+def checkpointed(new: DataFrame, path: str, key: str, order: list[str]) -> DataFrame:
+    """Results so far with new ones put over those of the same key, written anew as a whole in order; gives what is there now.
+
+    Each rewrite is a folder of its own, ``v`` and its number; the highest
+    finished one counts, so a rewrite that breaks off leaves the one before.
+    """
+    from voxloom.operators.joins import upsert
+
+    spark = new.sparkSession
+    version, old = latest_version(spark, path)
+    merged = new if old is None else upsert(old, new, key)
+    target = f"{path.rstrip('/')}/v{version + 1:06d}"
+    merged.orderBy(*order).write.parquet(target)
+    return spark.read.schema(merged.schema).parquet(target)
+
+
+def latest_version(spark, path: str) -> tuple[int, DataFrame | None]:
+    """Number and rows of the last finished rewrite; 0 and none where there is none."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/v*/_SUCCESS")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    last = max((f.getPath().getParent().toString() for f in found or []), default=None)
+    return (0, None) if last is None else (int(last.rsplit("/v", 1)[1]), spark.read.parquet(last))
+
+
+def timeline_html(title: str, spans: list[tuple[str, float, float]]) -> str:
+    """A page with one bar for each token of a timeline; spans without both times or of no length are left out."""
+    ok = [(t, a, b) for t, a, b in spans if a is not None and b is not None and b > a]
+    end = max((b for *_, b in ok), default=1.0)
+    bars = "\n".join(
+        f'<div class="token" style="left:{100 * a / end:.3f}%;width:{100 * (b - a) / end:.3f}%" title="{a:.3f}-{b:.3f}">{html.escape(t)}</div>'
+        for t, a, b in ok
+    )
+    return f'<!doctype html><meta charset="utf-8"><title>{html.escape(title)}</title><div class="timeline">\n{bars}\n</div>\n'
+
+
 def append_results(new: DataFrame, path: str, key: str) -> None:
     """Append results whose key is not there yet, so that a broken run can go on; nothing is written again."""
     from voxloom.sources.readers import exists
