@@ -17,8 +17,9 @@ LABEL_STYLES = [
     r"说话人\s*(\d+)\s*[:：]",
 ]
 LABEL = re.compile("|".join(LABEL_STYLES), re.I)
-#: Anything built like a label: marks, a word or none, a number, and a mark behind it.
-NUMBERED = re.compile(r"(?:[<\[*({#]{1,2}\s*)?(?<![^\W\d_])(?:[^\W\d_]{1,12}[\s._#-]{0,2})?(?<!\d)(\d{1,9})(?!\d)\s*(?:[>\])}]\s*[:：]?|\*\*\s*[:：]?|[:：](?!\d)\s*(?:\*\*)?)")
+#: Anything built like a label: a number with a mark behind it, and before it marks and a word or none.
+_NUMBER_MARK = re.compile(r"(?<!\d)(\d{1,9})(?!\d)\s*(?:[>\])}]\s*[:：]?|\*\*\s*[:：]?|[:：](?!\d)\s*(?:\*\*)?)")
+_BEFORE_NUMBER = re.compile(r"(?:[<\[*({#]{1,2}\s*)?(?:(?<![^\W\d_])[^\W\d_]{1,12}[\s._#-]{0,2})?\Z")
 
 # The notations of timestamps.
 TIMESTAMP_STYLES = [
@@ -72,18 +73,24 @@ def words_of(text: str) -> list[str]:
     return [w for w in WORD.findall(text) if w.strip("'’_")]
 
 
-def clean_words(text: str) -> list[str]:
-    """The words of a turn without timestamps, annotations and fillers."""
-    return [w for w in words_of(blank_annotations(TIMESTAMP.sub(" ", text)).replace("\x00", " ")) if w.lower() not in FILLERS]
+def blanked(text: str) -> str:
+    """A turn with blanks for timestamps and NULs for annotations."""
+    return blank_annotations(TIMESTAMP.sub(" ", text))
+
+
+def clean_words(text: str, blank: str | None = None) -> list[str]:
+    """The words of a turn without timestamps, annotations and fillers; ``blank`` is the ``blanked`` text where it is known."""
+    out = blanked(text) if blank is None else blank
+    return [w for w in words_of(out.replace("\x00", " ")) if w.lower() not in FILLERS]
 
 
 #: An annotation inside a Chinese word leaves no blank there.
 _HAN_GAP = re.compile(r"(?<=[一-鿿])[\s,，]*\x00[\s,，]*(?=[一-鿿])")
 
 
-def clean_text(text: str) -> str:
+def clean_text(text: str, blank: str | None = None) -> str:
     """The readable words of a turn: marks and fillers out, blanks and stray commas mended."""
-    out = blank_annotations(TIMESTAMP.sub(" ", text))
+    out = blanked(text) if blank is None else blank
     out = _HAN_GAP.sub("", out).replace("\x00", " ")
     out = WORD.sub(lambda m: " " if m.group().lower() in FILLERS else m.group(), out)
     out = re.sub(r"\s+", " ", out)
@@ -113,15 +120,15 @@ def label_spans(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), number_key(m.group(m.lastindex))) for m in LABEL.finditer(text)]
 
 
-def numbered_spans(text: str) -> list[tuple[int, int, str]]:
-    """Places of anything else that is built like a label, apart from labels and timestamps."""
-    taken = sorted([m.span() for m in LABEL.finditer(text)] + [m.span() for m in TIMESTAMP.finditer(text)])
+def numbered_spans(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """Places of anything else that is built like a label; ``taken`` are those of labels and timestamps in order."""
     starts = [a for a, _ in taken]
-    out = []
-    for m in NUMBERED.finditer(text):
+    out: list[tuple[int, int, str]] = []
+    for m in _NUMBER_MARK.finditer(text):
         k = bisect_left(starts, m.end()) - 1
         if k < 0 or taken[k][1] <= m.start():
-            out.append((m.start(), m.end(), number_key(m.group(1))))
+            low = max(taken[k][1] if k >= 0 else 0, out[-1][1] if out else 0, m.start() - 18)
+            out.append((m.start() - len(_BEFORE_NUMBER.search(text, low, m.start()).group()), m.end(), number_key(m.group(1))))
     return out
 
 

@@ -61,10 +61,11 @@ def _ends_stop(before: str) -> bool:
 def candidates(text: str) -> list[Candidate]:
     """The candidates of a text with the features of each as the head of a turn."""
     known = speech.label_spans(text)
-    labels = sorted([(*x, False) for x in known] + [(*x, True) for x in speech.numbered_spans(text)])
+    stamps = [(*m.span(), m.group()) for m in speech.TIMESTAMP.finditer(text)]
+    others = speech.numbered_spans(text, sorted([x[:2] for x in known] + [x[:2] for x in stamps]))
+    labels = sorted([(*x, False) for x in known] + [(*x, True) for x in others])
     if not labels:
         return []
-    stamps = [(m.start(), m.end(), m.group()) for m in speech.TIMESTAMP.finditer(text)]
     by_end = {}
     for a, b, mark in stamps:
         by_end[b] = (a, mark)
@@ -307,9 +308,10 @@ def clean_turns(text: str | None, weights: np.ndarray) -> list[dict]:
     numbers: dict[str, int] = {}
     for _, turns in blocks:
         for t in turns:
-            if not speech.clean_words(t["body"]):
+            blank = speech.blanked(t["body"])
+            if not speech.clean_words(t["body"], blank):
                 continue
-            words = speech.clean_text(t["body"])
+            words = speech.clean_text(t["body"], blank)
             if merged and merged[-1]["number"] == t["number"]:
                 merged[-1]["words"] += " " + words
                 continue
