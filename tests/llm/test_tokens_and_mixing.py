@@ -58,6 +58,22 @@ def test_appends_and_edits(encoder):
     assert x.encoded < 10 and x.ids == encoder.encode(x.text)
 
 
+@needs_vocabulary
+def test_a_change_costs_what_it_touches(encoder):
+    x = tokens.EncodedText(encoder, "a" * 20_000)
+    x.append("bc")
+    assert x.bytes_encoded == 2 and x.ids == encoder.encode("a" * 20_000 + "bc")
+    x.edit(19_990, 20_002, "xyz")
+    assert x.bytes_encoded <= 16 and x.ids == encoder.encode(x.text)
+    rng = random.Random(9)
+    y = tokens.EncodedText(encoder, " ".join("word" * rng.randint(1, 40) for _ in range(900)))
+    for _ in range(60):
+        a = rng.randint(0, len(y.text))
+        y.edit(a, rng.randint(a, min(len(y.text), a + rng.choice([0, 3, 400]))), rng.choice(["", " ", "zz", "\n\n", "long" * 50]))
+        assert y.ids == encoder.encode(y.text) and "".join(str(p.size) for b in y.blocks for p in b)
+    assert sum(y.sizes) == len(y.text)
+
+
 def naive(weights, seats, caps):
     got = [0] * len(weights)
     for _ in range(seats):

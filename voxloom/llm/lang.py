@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm import speech
 from voxloom.llm.kinds import text_kind
-from voxloom.llm.lm import LANGS, PieceModel, evidence, load_pieces, train
+from voxloom.llm.lm import LANGS, PieceModel, load_pieces, told, train
 from voxloom.llm.speech import words_of
 from voxloom.session import spread, stage
 
@@ -139,23 +139,32 @@ def parsed_turns(text: str) -> list[tuple[int, list[tuple[list[str], int]]]]:
     """The turns of a text by number, each with its sentences' words as evidence and their letters."""
     out = []
     for no, raw in enumerate(speech.raw_turns(text)):
-        own = [(evidence(s), sum(map(len, words_of(s)))) for s in speech.sentences_of(speech.clean_text(raw))]
-        out.append((no + 1, own))
+        out.append((no + 1, [told(s) for s in speech.sentences_of(speech.clean_text(raw))]))
     return out
 
 
-def detect(text: str, model: PieceModel, parsed: list | None = None) -> tuple[str | None, float, list[tuple[int, str, float]]]:
+Turns = list[tuple[int, list[tuple[np.ndarray, int]]]]
+
+
+def scored_turns(texts: list[str], model: PieceModel) -> list[Turns]:
+    """For each text its turns by number, each with the posterior and letters of its sentences that have letters; scored all together."""
+    parsed = [parsed_turns(t) for t in texts]
+    posts = iter(model.posteriors([words for turns in parsed for _, own in turns for words, _ in own]))
+    out = []
+    for turns in parsed:
+        sure = [(no, [(p, n) for (_, n), p in zip(own, [next(posts) for _ in own]) if p is not None]) for no, own in turns]
+        out.append([(no, own) for no, own in sure if own])
+    return out
+
+
+def detect(text: str, model: PieceModel, turns: Turns | None = None) -> tuple[str | None, float, list[tuple[int, str, float]]]:
     """Main language, its confidence, and (turn number, language, confidence) of turns in another one.
 
     The confidence of a text is the mean over its sentences of the posterior of
-    the main language, weighted by letters; of a turn likewise.  ``parsed`` are
-    the text's ``parsed_turns`` where they are known.
+    the main language, weighted by letters; of a turn likewise.  ``turns`` are
+    the text's ``scored_turns`` where they are known.
     """
-    turns = []
-    for no, own in parsed_turns(text) if parsed is None else parsed:
-        told = [(post, n) for words, n in own if (post := model.posterior_of(words)) is not None]
-        if told:
-            turns.append((no, told))
+    turns = scored_turns([text], model)[0] if turns is None else turns
     votes, letters = Counter(), Counter()
     for _, sentences in turns:
         for post, n in sentences:
@@ -191,9 +200,9 @@ def languages(df: DataFrame, model: PieceModel, id_col: str = "row_id", text_col
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             # All words of a batch are scored together first.
-            parsed = [None if t is None else parsed_turns(t) for t in pdf["text"]]
-            model.warm(w for turns in parsed if turns for _, own in turns for words, _ in own for w in words)
-            model.warm(w for t in pdf["text"] if t is not None for w in words_of(t.lower()))
+            parsed = scored_turns([t or "" for t in pdf["text"]], model)
+            # Whole texts are scored only where no label tells that they are speech.
+            model.warm(w for t in pdf["text"] if t is not None and not speech.LABEL.search(t) for w in words_of(t.lower()))
             got = [
                 detect(t, model, p) if t is not None and text_kind(t, model) == "prose" else (None, 0.0, [])
                 for t, p in zip(pdf["text"], parsed)

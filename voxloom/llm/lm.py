@@ -193,20 +193,33 @@ class PieceModel:
         A word that is repeated is evidence once, so a loop over one ambiguous
         word stays ambiguous.
         """
-        return self.posterior_of(evidence(text))
-
-    def posterior_of(self, words: list[str]) -> np.ndarray | None:
-        """The same of the words that ``evidence`` gives."""
-        total, chars = self.scored(words)
-        if not chars:
-            return None
-        e = np.exp(total - total.max())
-        return e / e.sum()
+        return self.posteriors([told(text)[0]])[0]
+
+    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray | None]:
+        """The same of many texts, each the words that ``told`` gives."""
+        kept = [[w for w in words if not w.isdigit()] for words in texts]
+        self.warm(w for words in kept for w in words)
+        sizes = np.array([len(words) for words in kept], dtype=np.int64)
+        full = np.flatnonzero(sizes)
+        out: list[np.ndarray | None] = [None] * len(texts)
+        if len(full):
+            rows = np.array([self.word(w) for words in kept for w in words])
+            starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+            total = np.add.reduceat(rows, starts, axis=0)
+            e = np.exp(total - total.max(axis=1, keepdims=True))
+            for k, p in zip(full.tolist(), e / e.sum(axis=1, keepdims=True)):
+                out[k] = p
+        return out
 
 
-def evidence(text: str) -> list[str]:
-    """The different words of a text in lower case, loops inside them taken back."""
-    return list(dict.fromkeys(words_of(_RUN.sub(r"\1\1", text.lower()))))
+def told(text: str) -> tuple[list[str], int]:
+    """The different words of a text in lower case, loops inside them taken back, and the letters of all its words."""
+    low = text.lower()
+    words = words_of(low)
+    letters = sum(map(len, words))
+    if _RUN.search(low):
+        words = words_of(_RUN.sub(r"\1\1", low))
+    return list(dict.fromkeys(words)), letters
 
 
 def train(samples: list[tuple[str, str]], pieces: list[str], langs: tuple[str, ...] = LANGS, rounds: int = 4, background: float = 0.1) -> PieceModel:

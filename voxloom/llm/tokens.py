@@ -121,26 +121,54 @@ class PrefixEncoder:
 PIECES = regex.compile(PATTERN)
 
 
+class Piece:
+    """One piece of a text: its characters, ids, and for a long one the last token of each of its byte prefixes."""
+
+    __slots__ = ("size", "ids", "last")
+
+    def __init__(self, size: int, ids: tuple[int, ...], last: list[int] | None):
+        self.size, self.ids, self.last = size, ids, last
+
+
+#: Pieces of a block of an ``EncodedText``.
+_BLOCK = 256
+
+
 class EncodedText:
     """A text with its encoding, kept up to date under appends and edits.
 
-    ``pieces`` holds (start, end, ids).  A piece depends on nothing but the
-    characters from its start to a little behind its end, so a change is
-    re-encoded from the piece before it until the pieces meet the old ones.
+    A piece depends on nothing but the characters from its start to a little
+    behind its end, so a change is encoded again from the piece before it until
+    the pieces meet the old ones.  In a long piece the last tokens of the byte
+    prefixes before the change stay as they are and only later ones are found
+    anew, so an append costs what is appended.  Pieces stand in blocks, so an
+    edit finds its place and moves what follows without a pass over all pieces.
     """
 
     def __init__(self, encoder: PrefixEncoder, text: str = ""):
         self.encoder, self.text = encoder, text
-        self.pieces: list[tuple[int, int, tuple[int, ...]]] = self._cut(0, None)
-        self.encoded = len(self.pieces)
-
-    def _cut(self, start: int, meet: set[int] | None) -> list[tuple[int, int, tuple[int, ...]]]:
-        out = []
-        for m in PIECES.finditer(self.text, start):
-            if meet is not None and m.start() in meet:
-                break
-            out.append((m.start(), m.end(), self.encoder.piece(m.group())))
-        return out
+        self.encoded = self.bytes_encoded = 0
+        self.blocks: list[list[Piece]] = []
+        self.sizes: list[int] = []
+        self._replace(0, 0, [self._piece(m.group(), None, 0) for m in PIECES.finditer(text)])
+
+    def _piece(self, chars: str, old: Piece | None, same: int) -> Piece:
+        """A piece, from an old one that begins alike for ``same`` bytes."""
+        self.encoded += 1
+        if len(chars) <= _KEEP:
+            self.bytes_encoded += len(chars)
+            return Piece(len(chars), self.encoder.piece(chars), None)
+        data = chars.encode("utf-8", "replace")
+        last = old.last[:same] if old is not None and old.last is not None else []
+        self.bytes_encoded += len(data) - len(last)
+        self.encoder.extend(data, last)
+        return Piece(len(chars), tuple(self.encoder.walk(last)), last)
+
+    def _replace(self, first: int, stop: int, pieces: list[Piece]) -> None:
+        """Put pieces in the place of whole blocks."""
+        cut = [pieces[k : k + _BLOCK] for k in range(0, len(pieces), _BLOCK)]
+        self.blocks[first:stop] = cut
+        self.sizes[first:stop] = [sum(p.size for p in c) for c in cut]
 
     def append(self, more: str) -> None:
         """Add text at the end."""
@@ -148,21 +176,58 @@ class EncodedText:
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Put ``new`` in the place of ``text[start:end]``."""
+        # The block of the change, and one before it: a run of white space is cut by what follows it.
+        at, block = 0, 0
+        while block < len(self.blocks) - 1 and at + self.sizes[block] < start:
+            at += self.sizes[block]
+            block += 1
+        first = max(0, block - 1)
+        at -= self.sizes[first] if first < block else 0
+        held, stop, begins = [], first, []
+        place = at
+
+        def take() -> bool:
+            """Take up the next block; false where there is none."""
+            nonlocal stop, place
+            if stop >= len(self.blocks):
+                return False
+            for p in self.blocks[stop]:
+                held.append(p)
+                begins.append(place)
+                place += p.size
+            stop += 1
+            return True
+
+        while (not held or place < end) and take():
+            pass
+        keep = max(0, next((k for k, p in enumerate(held) if begins[k] + p.size >= start), len(held)) - 2)
+        begin = begins[keep] if keep < len(held) else at
         shift = len(new) - (end - start)
-        # Two pieces back: a run of white space is cut by what follows it.
-        first = max(0, next((k for k, p in enumerate(self.pieces) if p[1] >= start), len(self.pieces)) - 2)
-        begin = self.pieces[first][0] if first < len(self.pieces) else 0
         self.text = self.text[:start] + new + self.text[end:]
-        later = {p[0] + shift: k for k, p in enumerate(self.pieces) if p[0] > end}
-        fresh = self._cut(begin, set(later))
-        meet = fresh[-1][1] if fresh else begin
-        k = later.get(meet, len(self.pieces))
-        self.encoded = len(fresh)
-        self.pieces[first:] = fresh + [(a + shift, b + shift, ids) for a, b, ids in self.pieces[k:]]
+        self.encoded = self.bytes_encoded = 0
+        fresh, k = [], keep
+        for m in PIECES.finditer(self.text, begin):
+            # Old pieces that end before this one begins, and the first that begins with it or later.
+            while True:
+                while k < len(held) and (begins[k] < m.start() if begins[k] <= start else begins[k] + shift < m.start()):
+                    k += 1
+                if k < len(held) or not take():
+                    break
+            if k < len(held) and begins[k] > end and begins[k] + shift == m.start():
+                break
+            alike = k < len(held) and begins[k] == m.start() <= start
+            same = len(self.text[m.start() : min(start, m.end())].encode("utf-8", "replace")) if alike else 0
+            fresh.append(self._piece(m.group(), held[k] if alike else None, same))
+        else:
+            # The text ended before it met an old piece: none of them stays.
+            while take():
+                pass
+            k = len(held)
+        self._replace(first, stop, [*held[:keep], *fresh, *held[k:]])
 
     @property
     def ids(self) -> list[int]:
-        return [i for *_, ids in self.pieces for i in ids]
+        return [i for block in self.blocks for p in block for i in p.ids]
 
 
 _ENCODER: dict[str, PrefixEncoder] = {}
