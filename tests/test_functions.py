@@ -112,3 +112,9 @@ def test_verdicts_of_deeply_nested_answers(spark):
     rows = [(1, '{"Verdict":  "keep", "x": ' + deep + "}"), (2, '{"Verdict":  "keep", "x": ' + deep + '} {"y": 1}'), (3, '{"Verdict":  "keep", "x": "}{"}'), (4, '{"Verdict":  "keep"}}')]
     df = spark.createDataFrame(rows, "id int, raw string").select("id", V.analysis_verdict(F.col("raw")).alias("v"))
     assert {r.id: r.v for r in df.collect()} == {1: "KEEP", 2: "UNKNOWN", 3: "KEEP", 4: "UNKNOWN"}
+
+
+def test_a_label_without_a_value_takes_nothing_from_the_next_line(spark):
+    raw = "Intensity: High\nEmotion:\nReasoning: none"
+    got = spark.createDataFrame([(raw,)], "raw string").select(V.labelled_answer(F.col("raw")).alias("a")).first().a
+    assert got.intensity == "High" and got.emotion is None and got.reasoning == "none" and got.sections is None

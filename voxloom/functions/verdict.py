@@ -149,8 +149,8 @@ def answer_is_true(raw: Column, marker: str = "Transcript:") -> Column:
 
 
 def labelled_answer(raw: Column, labels: tuple[str, ...] = ("Intensity", "Emotion", "Reasoning", "Sections")) -> Column:
-    """Struct of the lines ``Label: value`` of a plain-text answer; null where a label is missing."""
-    return F.struct(*[F.nullif(F.trim(F.regexp_extract(raw, rf"(?im)^\s*{x}\s*:\s*(.*)$", 1)), F.lit("")).alias(x.lower()) for x in labels])
+    """Struct of the lines ``Label: value`` of a plain-text answer; null where a label or its value is missing."""
+    return F.struct(*[F.nullif(F.trim(F.regexp_extract(raw, rf"(?im)^[ \t]*{x}[ \t]*:[ \t]*(.*)$", 1)), F.lit("")).alias(x.lower()) for x in labels])
 
 
 def split_thinking(raw: Column, mark: str = "</think>") -> Column:

@@ -16,9 +16,9 @@ def _spans(rows):
 
 
 @query(r"""
-  SELECT row_id, text_features.word_count AS n, CASE WHEN text_features.word_count > 0 THEN round((text_features.true_duration - least(text_features.word_count / 2.3, text_features.true_duration)) / 2, 6) END AS first_start,
-         CASE WHEN text_features.word_count > 0 THEN round((text_features.true_duration + least(text_features.word_count / 2.3, text_features.true_duration)) / 2, 6) END AS last_end
-  FROM feature_rows WHERE text_features.true_duration > 0 AND text_features.word_count >= 0""")
+  WITH f AS (SELECT row_id, text_features.word_count AS n, text_features.true_duration AS d, least(text_features.word_count / 2.3, text_features.true_duration) AS talk
+             FROM feature_rows WHERE text_features.true_duration > 0 AND text_features.word_count >= 0)
+  SELECT row_id, n, CASE WHEN n > 0 THEN round((d - talk) / 2, 6) END AS first_start, CASE WHEN n > 0 THEN round((d - talk) / 2 + n * (talk / n), 6) END AS last_end FROM f""")
 def word_spans(spark, sf):
     """Equal spans of the words over the guessed talk time."""
     f = lambda name: F.col(f"text_features.{name}")
@@ -175,11 +175,11 @@ def smoothed_signals(spark, sf):
     return read_table(spark, sf, "embeddings").select("vec_id", audio.smoothed(F.col("embedding").cast("array<double>")).alias("smooth"))
 
 
-@query("SELECT vec_id, list_transform(range(1, 33), lambda i: round((embedding[i]::DOUBLE + embedding[i + 32]::DOUBLE) / 2, 4)) AS wav FROM embeddings")
+@query("SELECT vec_id, list_transform(range(1, 33), lambda i: ((embedding[i] + embedding[i + 32])::FLOAT / 2)::FLOAT) AS wav FROM embeddings")
 def mono_signals(spark, sf):
     """Two channels averaged; here the halves of a vector."""
     halves = F.array(F.slice("embedding", 1, 32), F.slice("embedding", 33, 32))
-    return read_table(spark, sf, "embeddings").select("vec_id", F.transform(audio.mono(halves), lambda x: F.round(x.cast("double"), 4)).alias("wav"))
+    return read_table(spark, sf, "embeddings").select("vec_id", audio.mono(halves).alias("wav"))
 
 
 @query(r"""
