@@ -18,14 +18,14 @@ def _spans(rows):
 @query(r"""
   WITH f AS (SELECT row_id, text_features.word_count AS n, text_features.true_duration AS d, least(text_features.word_count / 2.3, text_features.true_duration) AS talk
              FROM feature_rows WHERE text_features.true_duration > 0 AND text_features.word_count >= 0)
-  SELECT row_id, n, CASE WHEN n > 0 THEN round((d - talk) / 2, 6) END AS first_start, CASE WHEN n > 0 THEN round((d - talk) / 2 + n * (talk / n), 6) END AS last_end FROM f""")
+  SELECT row_id, n, CASE WHEN n > 0 THEN (d - talk) / 2 END AS first_start, CASE WHEN n > 0 THEN (d - talk) / 2 + n * (talk / n) END AS last_end FROM f""")
 def word_spans(spark, sf):
     """Equal spans of the words over the guessed talk time."""
     f = lambda name: F.col(f"text_features.{name}")
     rows = read_table(spark, sf, "feature_rows").where("text_features.true_duration > 0 and text_features.word_count >= 0")
     spans = rows.select("row_id", T.word_spans(f("word_count"), f("true_duration")).alias("s"))
     n = F.size("s")
-    return spans.select("row_id", n.cast("long").alias("n"), F.round(F.get("s", F.lit(0))["start_time"], 6).alias("first_start"), F.round(F.get("s", n - 1)["end_time"], 6).alias("last_end"))
+    return spans.select("row_id", n.cast("long").alias("n"), F.get("s", F.lit(0))["start_time"].alias("first_start"), F.get("s", n - 1)["end_time"].alias("last_end"))
 
 
 @query(r"""
