@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions.spans import segment_struct
+from voxloom.functions.text import parse_asr_output
+from voxloom.operators.align import merge_chunks
+from voxloom.operators.audio import MAX_ALIGN_SECONDS, quiet_chunks
 
 
 @dataclass
@@ -88,6 +91,16 @@ def diarize(audio: DataFrame, model: BatchModel, id_col: str, samples: str) -> D
     return good.select("file_name", F.col("p").cast("long").alias("seg_id"), "s.start_time", "s.end_time", F.col("s.speaker").alias("spk_id"))
 
 
+def recognised(chunks: DataFrame, asr: BatchModel, aligner: BatchModel | None = None, language: str | None = None, separator: str = " ") -> DataFrame:
+    """``orig_index, language, text, n_chunks`` and, with an aligner, ``time_stamps`` of recordings whose chunks are ``id, chunk_index, offset_sec, chunk``."""
+    raw = apply_model(chunks, asr, "chunk", "raw")
+    forced = F.lit(language) if language else None
+    parsed = raw.select("id", "chunk_index", "offset_sec", parse_asr_output(F.col("raw"), forced).alias("p")).select("id", "chunk_index", "offset_sec", "p.*")
+    if aligner:
+        parsed = apply_model(parsed, aligner, "text", "spans")
+    return merge_chunks(parsed.withColumnRenamed("id", "orig_index"), spans="spans" if aligner else None, separator=separator)
+
+
 @dataclass
 class Recogniser:
     """The recognition pipeline over recorded or real models: chunks, answers, languages, spans, whole recordings."""
@@ -99,17 +112,8 @@ class Recogniser:
 
     def transcribe(self, audio: DataFrame, id_col: str, samples: str, language: str | None = None, context: str = "") -> DataFrame:
         """``orig_index, language, text, n_chunks`` and, with an aligner, ``time_stamps``."""
-        from voxloom.functions.text import parse_asr_output
-        from voxloom.operators.align import merge_chunks
-        from voxloom.operators.audio import MAX_ALIGN_SECONDS, quiet_chunks
-
         if language is not None and self.languages and language not in self.languages:
             raise ValueError(f"language {language!r} is not supported")
         limit = min(self.max_seconds, MAX_ALIGN_SECONDS) if self.aligner else self.max_seconds
         chunks = quiet_chunks(audio, samples, id_col, max_seconds=limit).withColumn("context", F.lit(context))
-        raw = apply_model(chunks, self.asr, "chunk", "raw")
-        forced = F.lit(language) if language else None
-        parsed = raw.select("id", "chunk_index", "offset_sec", "chunk", parse_asr_output(F.col("raw"), forced).alias("p")).select("id", "chunk_index", "offset_sec", "chunk", "p.*")
-        if self.aligner:
-            parsed = apply_model(parsed, self.aligner, "text", "spans")
-        return merge_chunks(parsed.withColumnRenamed("id", "orig_index"), spans="spans" if self.aligner else None)
+        return recognised(chunks, self.asr, self.aligner, language, separator="")

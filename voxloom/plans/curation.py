@@ -142,16 +142,6 @@ def unfinished_transcripts(spark, sf):
     return left.groupBy(F.coalesce("config_key", F.lit("none")).alias("config_key"), "idx").agg(F.count("*").alias("n"))
 
 
-@query(r"""
-  WITH old AS (SELECT tr_id, config_key, duration_sec FROM transcript_rows WHERE tr_id % 3 <> 0),
-       new AS (SELECT tr_id, config_key, -1.0::DOUBLE AS duration_sec FROM transcript_rows WHERE tr_id % 2 = 0)
-  SELECT * FROM old WHERE tr_id NOT IN (SELECT tr_id FROM new) UNION ALL SELECT * FROM new""")
-def upserted_results(spark, sf):
-    """New results replace old ones of the same key; the two sides overlap in a sixth of the keys."""
-    rows = read_table(spark, sf, "transcript_rows").select("tr_id", "config_key", "duration_sec")
-    return joins.upsert(rows.where("tr_id % 3 <> 0"), rows.where("tr_id % 2 = 0").withColumn("duration_sec", F.lit(-1.0)), "tr_id")
-
-
 @query(r"""
   WITH old AS (SELECT tr_id, concat(coalesce(config_key, ''), '/', coalesce(idx::VARCHAR, '')) AS k, duration_sec,
                       coalesce(error, '') = '' AND coalesce(transcription, '') <> '' AS done FROM transcript_rows),
@@ -360,18 +350,6 @@ def first_hundred(spark, sf):
     return joins.head(read_table(spark, sf, "feature_rows").select("row_id", "config_key"), [F.col("row_id")], 100)
 
 
-@query(r"""
-  SELECT row_id, CASE WHEN lower(language) IN ('en', 'english') THEN 'English' WHEN lower(language) IN ('zh', 'chinese') THEN 'Chinese' END AS name,
-         concat(upper(left(trim(language), 1)), lower(substr(trim(language), 2))) IN ('English', 'Chinese', 'Malay') AS supported
-  FROM feature_rows WHERE lower(language) IN ('en', 'english', 'zh', 'chinese', 'malay', 'tamil')""")
-def supported_languages(spark, sf):
-    """Labels turned into names, and whether the recogniser knows them."""
-    lang = F.lower("language")
-    rows = read_table(spark, sf, "feature_rows").where(lang.isin("en", "english", "zh", "chinese", "malay", "tamil"))
-    name = F.when(lang.isin("en", "english"), "English").when(lang.isin("zh", "chinese"), "Chinese")
-    return rows.select("row_id", name.alias("name"), T.is_supported_language(F.col("language")).alias("supported"))
-
-
 @query(r"""
   WITH l AS (SELECT row_id, trim(regexp_replace(coalesce(language, ''), '^\s+|\s+$', '', 'g')) AS label FROM feature_rows),
   n AS (SELECT row_id, lower(label) AS low, CASE WHEN label <> '' THEN concat(upper(left(label, 1)), lower(substr(label, 2))) END AS title FROM l)

@@ -351,3 +351,41 @@ def even_decks(spark, sf):
     whole = stage(uses, "decks")
     ends = whole.agg(F.min("n").alias("lo"), F.max("n").alias("hi")).first()
     return whole.select("config_key", F.lit((ends.hi or 0) - (ends.lo or 0) <= 1).alias("even"))
+
+
+@query("SELECT 'idx' || vec_id || '_' || label || '.wav' AS name FROM embeddings")
+def audited_files(spark, sf):
+    """Copies of files under names for listening."""
+    at = _waves(spark, sf)
+    path = F.concat(F.lit(f"{mounted(at)}/"), F.col("vec_id").cast("string"), F.lit(".wav"))
+    rows = read_table(spark, sf, "embeddings").select("vec_id", F.col("label").cast("string").alias("audio_id"), path.alias("source_audio_path"))
+    copies = writers.audit_copies(rows, mounted(scratch_folder(spark, "audit")), index="vec_id")
+    return copies.select(F.substring_index("path", "/", -1).alias("name"))
+
+
+@query("SELECT doc_id, octet_length(encode(text)) % 4 = 0 AS whole FROM documents WHERE text IS NOT NULL")
+def posted_chunks(spark, sf):
+    """Whether a posted body holds whole samples; here texts stand for bodies."""
+    return read_table(spark, sf, "documents").where("text is not null").select("doc_id", readers.valid_chunk(F.encode("text", "UTF-8")).alias("whole"))
+
+
+@query("SELECT * FROM (VALUES (0::BIGINT, 4::BIGINT, 16000, 2.0::DOUBLE), (1, 3, 8000, 3.0)) t(id, n_samples, sr, total)")
+def held_waves(spark, sf):
+    """Waveforms that the caller holds, mono, with their rates."""
+    got = readers.in_memory(spark, [(np.array([[1.0, 0.0, 1.0, 0.0], [1.0, 0.0, 1.0, 0.0]]), 16000), (np.ones(3), 8000)])
+    return got.select("id", F.size("wav").cast("long").alias("n_samples"), "sr", F.aggregate("wav", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("total"))
+
+
+@query(r"""
+  SELECT vec_id::VARCHAR AS orig_index, 'English' AS language, '24 24 16' AS text, 3::INTEGER AS n_chunks,
+         [0.0, 3.0, 6.0]::DOUBLE[] AS starts FROM embeddings""")
+def recognised_signals(spark, sf):
+    """Recognition and alignment of recordings by stand-in models: chunks, answers, spans, and whole recordings again."""
+    signal = F.transform(F.sequence(F.lit(1), F.size("embedding")), lambda i: F.when(i % 24 == 1, 0.0).otherwise(1.0).cast("float"))
+    rows = read_table(spark, sf, "embeddings").select("vec_id", signal.alias("wav"))
+    asr = models.BatchModel("lengths", lambda: None, lambda _, waves: [f"language english<asr_text>{len(w)}" for w in waves])
+    kind = "array<struct<text:string,start_time:double,end_time:double>>"
+    aligner = models.BatchModel("one span", lambda: None, lambda _, texts: [[{"text": t, "start_time": 0.0, "end_time": 1.0}] for t in texts], kind)
+    chunks = audio.quiet_chunks(rows, "wav", "vec_id", rate=8, max_seconds=3.0, search=0.25)
+    spoken = models.recognised(chunks, asr, aligner)
+    return spoken.select("orig_index", "language", "text", "n_chunks", F.transform("time_stamps", lambda x: x["start_time"]).alias("starts"))
