@@ -288,3 +288,32 @@ def test_names_of_more_than_two_words(spark):
     assert got[4000] == "நேற்று [NAME] வந்தார்."
     said = "My name is Nur Aisyah binti Hassan and I"
     assert [said[a:b] for a, b in pii.name_slots(said)] == ["Nur", "Aisyah", "binti", "Hassan"]
+
+
+@needs_pieces
+def test_one_long_text_through_every_operator(m):
+    """Two million characters, each operator with a time limit that only linear work meets."""
+    import time
+
+    from voxloom.llm import pieces, tokens, turns
+
+    rng = random.Random(1)
+    said = [f"<Speaker{rng.randint(1, 3)}>: {sentence(rng.choice(list(WORDS)), rng)} call me on 012-345 {rng.randint(1000, 9999)} or a{rng.randint(1, 99)}@b.test, part {rng.randint(1, 9)}: (ah). " for _ in range(20_000)]
+    text = "".join(said)
+    assert len(text) > 1_500_000
+    weights, encoder = turns.fit(["One sentence stands here.", "Another one."], rounds=5), tokens.PrefixEncoder.load()
+
+    def personal():
+        counts, spans = pii.TermCounts(), pii.structured(text)
+        counts.add(text, spans)
+        return len(pii.mentions(text, pii.Disclosure.of(counts.rows()), spans))
+
+    work = {
+        "turns": lambda: turns.clean_turns(text, weights), "language": lambda: lang.detect(text, m), "statistics": lambda: quality.statistics(text, m, {}),
+        "repetition": lambda: repetition.repeated_share(text), "cut": lambda: truncation.probability(text, "no", np.zeros((1 << truncation.BITS) + 2)),
+        "pieces": lambda: pieces.split_text(text, 500, 50), "tokens": lambda: encoder.encode(text), "personal": personal,
+    }
+    for name, f in work.items():
+        began = time.time()
+        assert f(), name
+        assert time.time() - began < 60, name

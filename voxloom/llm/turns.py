@@ -279,6 +279,10 @@ def fit(sentences: list[str], rounds: int = 120, rate: float = 0.5, ridge: float
     return weights
 
 
+#: Weights fitted by this driver, by the sentences they were fitted to.
+_FITTED: dict[tuple[str, ...], np.ndarray] = {}
+
+
 def clean_turns(text: str | None, weights: np.ndarray) -> list[dict]:
     """The clean turns of one text in order, neighbours of one speaker joined.
 
@@ -328,7 +332,11 @@ def speaker_turns(df: DataFrame, samples: DataFrame, id_col: str = "row_id", tex
     """
     chosen = samples.select("text").where("text is not null").orderBy(F.xxhash64("text"), "text").limit(max_samples)
     sentences = sorted(r.text for r in chosen.collect())
-    weights = fit(sentences or ["A sentence stands here."])
+    key = tuple(sentences or ["A sentence stands here."])
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = fit(list(key))
+    weights = _FITTED[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
