@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.plans import alignments, curation, diarization, interval_queries, records, signals  # noqa: F401
+from voxloom.plans import alignments, curation, diarization, interval_queries, records, signals, streams  # noqa: F401
 from voxloom.plans.registry import ORACLE, QUERIES
 
 

@@ -6,7 +6,7 @@ from voxloom.operators.intervals import periods_and_gaps
 from voxloom.plans.registry import query
 from voxloom.session import read_table
 
-_PERIODS = r"""
+PERIODS_SQL = r"""
   WITH s AS (
     SELECT file_name, lower(trim(spk_id)) AS spk_id,
            round(start_time * 1000)::BIGINT AS s, round(end_time * 1000)::BIGINT AS e
@@ -25,6 +25,6 @@ _PERIODS = r"""
   SELECT file_name, spk_id, 'gap', end_ms, later FROM n WHERE later - end_ms <= 600000"""
 
 
-@query(_PERIODS)
+@query(PERIODS_SQL)
 def p2_found(spark, sf):
     return periods_and_gaps(read_table(spark, sf, "diar_segments"))
