@@ -9,7 +9,7 @@ from voxloom.functions import text as T
 from voxloom.functions import verdict as V
 from voxloom.operators import joins, reports
 from voxloom.plans.registry import query
-from voxloom.session import read_table
+from voxloom.session import read_table, spread
 
 
 def with_features(df: DataFrame, text: Column, duration: Column, lang: Column) -> DataFrame:
@@ -37,7 +37,8 @@ def _rows(spark, sf) -> DataFrame:
 
 
 def _featured(spark, sf) -> DataFrame:
-    return with_features(_rows(spark, sf), F.col("text"), F.col("text_features.true_duration"), _lang())
+    # Counting words over Arrow batches is worth a core for each part of a small table.
+    return with_features(spread(_rows(spark, sf), "row_id", waves=1), F.col("text"), F.col("text_features.true_duration"), _lang())
 
 
 _TOKENS = r"""
