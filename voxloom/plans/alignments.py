@@ -224,7 +224,7 @@ def masked_power(spark, sf):
 
 @query()
 def voice_tiers(spark, sf):
-    """The acoustic rules on voice features of the vectors, drawn out to half a second; held against the reference's rules in the tests."""
+    """The acoustic rules on voice features of the vectors, drawn out to half a second; the rules alone have SQL in intensity_rules."""
     wave = F.flatten(F.array_repeat(F.col("embedding"), 125))
     rows = read_table(spark, sf, "embeddings").select("vec_id", audio.voice_features(wave).alias("f"))
     return rows.select("vec_id", audio.acoustic_tier(F.col("f")).alias("tier"), F.col("f.loud_range").alias("loud_range"))
