@@ -118,6 +118,26 @@ def test_chunks(spark):
     assert out == [0.25, -1.0, 0.0]
 
 
+def test_resampled_is_rounded_as_in_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from voxloom.plans import core
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.choice([-0.0003, 0.0005, -0.0005, 0.0015, -0.0, 0.25, -1.0005, 7.0625], 64)]) for i in range(60)]
+    rows += [(100, [None] + [0.5] * 63), (101, [float("nan"), float("inf")] + [-1e-5] * 62), (102, None)]
+    rows += [(200 + i, [float(x) for x in rng.normal(scale=0.2, size=64)]) for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    # repr tells -0.0 from 0.0, and nothing is rounded.
+    want = {r[0]: repr(r[1]) for r in con.execute(core.oracle_sql()["resampled_signals"]).fetchall()}
+    got = {r.vec_id: repr(r.wav) for r in core.queries()["resampled_signals"](spark, str(tmp_path)).collect()}
+    assert got == want and "-0.0," in got[101]
+    same = spark.createDataFrame([([0.5, None, float("inf"), 1.0],), ([],), (None,)], "w array<float>").select(audio.resampled(F.col("w"), 8, 8).alias("a"), audio.resampled(F.col("w"), 8, 16).alias("b")).collect()
+    assert same[0].a == [0.5, None, float("inf"), 1.0] and len(same[0].b) == 8 and same[1].b == [] and same[2].b is None
+
+
 def test_voice(spark):
     tone = (0.5 * np.sin(2 * np.pi * 220 * np.arange(16000) / 16000)).astype(float).tolist()
     rows = spark.createDataFrame([(0, tone), (1, [0.0] * 8000), (2, []), (3, None)], "id int, w array<float>").select("id", audio.voice_features(F.col("w")).alias("f")).orderBy("id").collect()

@@ -187,7 +187,9 @@ def mono_signals(spark, sf):
   SELECT vec_id, list_transform(places, lambda a: round(e[floor(a)::BIGINT + 1]::DOUBLE + (a - floor(a)) * (e[least(floor(a)::BIGINT + 2, 64)]::DOUBLE - e[floor(a)::BIGINT + 1]::DOUBLE), 3)) AS wav FROM p""")
 def resampled_signals(spark, sf):
     """Signals at one and a half times their rate, by linear interpolation."""
-    return read_table(spark, sf, "embeddings").select("vec_id", F.transform(audio.resampled(F.col("embedding"), 16, 24), lambda x: F.round(x.cast("double"), 3)).alias("wav"))
+    # A missing vector has only missing samples.
+    signal = F.coalesce("embedding", F.array_repeat(F.lit(None).cast("float"), 64))
+    return read_table(spark, sf, "embeddings").select("vec_id", F.transform(audio.resampled(signal, 16, 24), lambda x: audio.rounded(x, 3)).alias("wav"))
 
 
 @query(r"""
