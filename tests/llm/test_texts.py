@@ -66,6 +66,44 @@ def test_samples_are_bounded_by_language(spark):
     assert {c: sum(r.lang == c for r in got) for c in ("en", "zh", "ta")} == {"en": 7, "zh": 7, "ta": 7}
 
 
+def same_model(got, want):
+    rows = {p: got.table[i] for i, p in enumerate(got.pieces)}
+    return got.langs == want.langs and got.pieces == want.pieces and np.allclose([rows[p] for p in want.pieces], want.table[: len(want.pieces)], rtol=1e-4, atol=1e-9)
+
+
+@needs_pieces
+def test_a_model_is_fitted_to_all_rows(spark):
+    rng = random.Random(11)
+    samples = [(c, sentence(c, rng)) for c in WORDS for _ in range(30)] + [("en", f"the driver washed {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}q{chr(97 + i // 676)}") for i in range(1500)]
+    words = [("en", f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}") for i in range(1200)] + [("zh", "司机"), ("en", None), (None, "x")]
+    a, b = spark.createDataFrame(samples + [("en", None), ("xx", "y")], "lang string, text string"), spark.createDataFrame(words, "lang string, word string")
+    given = samples + [(c, w) for c, w in words if c and w]
+    pieces = lm.load_pieces()
+    assert same_model(lang.fit_model(spark, a, b), lm.train(given, pieces))
+    # More rows of a language than any bound had, one of them long, one wrongly labelled, one twice.
+    turns = [(c, [sentence(c, rng) for _ in range(4)]) for c in ("es", "zh") for _ in range(700)] + [("ms", [sentence("ms", rng) for _ in range(900)])]
+    rows = [(i, "\n".join(f"<Speaker1>: {x}" for x in xs), c) for i, (c, xs) in enumerate(turns)] + [(9000, sentence("ta", rng) * 5, "en"), (9001, None, "en"), (9002, " ", "es")]
+    rows.append(rows[0])
+    assert len(rows[1400][1]) > 20_000
+    labelled = spark.createDataFrame(rows, "id long, text string, language string")
+    spoken = [(c, s) for c, xs in turns + turns[:1] for s in xs]
+    assert same_model(lang.fit_model(spark, a, b, labelled), lm.train(given + spoken, pieces))
+    assert same_model(lang.fit_model(spark, a, b, labelled.where("false")), lm.train(given, pieces))
+
+
+@needs_pieces
+def test_units_of_words_are_summed_apart(m):
+    p = {"▁": 0.1, "a": 0.2, "b": 0.1, "c": 0.3, "ab": 0.05, "▁a": 0.02, "bca": 0.04}
+    longer = lm._finder([x for x in p if len(x) > 1])
+    assert lm.units_of("abcaccb", longer) == ["▁abca", "c", "c", "b"] and lm.units_of("", longer) == ["▁"]
+    model = lm.PieceModel.of(("x",), {x: np.array([v]) for x, v in p.items()}, {s: np.array([0.0]) for s in lm.SCRIPTS})
+
+    def total(s):
+        return 1.0 if not s else sum(p[s[:k]] * total(s[k:]) for k in range(1, len(s) + 1) if s[:k] in p)
+
+    assert abs(model.word("abcaccb")[0] - sum(np.log(total(u)) for u in lm.units_of("abcaccb", longer))) < 1e-9
+
+
 @needs_pieces
 def test_language_of_held_out_sentences(m):
     rng = random.Random(7)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from voxloom.llm import speech
 from voxloom.llm.kinds import text_kind
-from voxloom.llm.lm import LANGS, PieceModel, load_pieces, told, train
+from voxloom.llm.lm import LANGS, PieceModel, UnitCounter, load_pieces, told, train_counts
 from voxloom.llm.speech import words_of
-from voxloom.session import spread, stage
+from voxloom.session import spread, stage, staging
 
 #: A sentence's language counts from this posterior on.
 SURE = 0.9
@@ -72,75 +72,87 @@ def _fitted(spark: SparkSession, inputs, make) -> PieceModel:
     return _FITTED[key].share(spark)
 
 
-def fit_model(
-    spark: SparkSession, samples: DataFrame, words: DataFrame | None = None, labelled: DataFrame | None = None,
-    max_samples: int = 1000, max_labelled: int = 600, max_chars: int = 20_000,
-) -> PieceModel:
-    """Train on bounded samples of labelled text.
+def _contents(rows: DataFrame, *columns: str) -> tuple:
+    """Number of the rows and sums of their hashes, which tell one table from another in any order of its rows."""
+    hashes = [F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)") for seed in (0, 1)]
+    return tuple(rows.agg(F.count("*"), *[F.sum(h) for h in hashes]).first())
 
-    At most ``max_samples`` sentences (``lang``, ``text``) and as many common
-    words (``lang``, ``word``) of each language give a first model.  Of
-    ``labelled`` rows (``id``, ``text``, ``language``) at most ``max_labelled``
-    of each language whose label agrees with that model then add the wordings of
-    real speech; texts over ``max_chars`` are not among them.  Rows are chosen by
-    hash, and the bounds hold at every size of the input.
+
+def fit_model(spark: SparkSession, samples: DataFrame, words: DataFrame | None = None, labelled: DataFrame | None = None) -> PieceModel:
+    """Train on all labelled text.
+
+    All sentences (``lang``, ``text``) and common words (``lang``, ``word``) of
+    the model's languages give a first model.  All ``labelled`` rows (``id``,
+    ``text``, ``language``) whose label agrees with that model then add the
+    wordings of real speech; a row counts as often as it stands in the table.
+    Words are counted where the rows lie, so nothing but sums for the pieces of
+    the vocabulary reaches the driver.
     """
-    clean = samples.where(F.col("lang").isin(*LANGS) & F.col("text").isNotNull()).select(F.lit("text").alias("kind"), "lang", "text")
+    clean = samples.where(F.col("lang").isin(*LANGS) & F.col("text").isNotNull()).select("lang", "text")
     if words is not None:
-        single = words.where(F.col("lang").isin(*LANGS) & F.col("word").isNotNull())
-        clean = clean.unionByName(single.select(F.lit("word").alias("kind"), "lang", F.col("word").alias("text")))
-    taken = bounded(clean.withColumn("own", F.concat("kind", "lang")), "own", "text", max_samples)
-    data = sorted((r.lang, r.text) for r in taken.select("lang", "text").collect())
+        clean = clean.unionByName(words.where(F.col("lang").isin(*LANGS) & F.col("word").isNotNull()).select("lang", F.col("word").alias("text")))
     pieces = load_pieces()
     vocabulary = hashlib.blake2b("\n".join(pieces).encode()).hexdigest()
-    model = _fitted(spark, (vocabulary, data), lambda: train(data, pieces))
+    given = _contents(clean, "lang", "text")
+    counter = UnitCounter(spark, pieces)
+    schema = "lang string, unit string, n long"
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield counter.counted(zip(pdf["lang"], pdf["text"]))
+
+    read = spread(clean, "lang", "text", waves=1).mapInPandas(count, schema)
+
+    def trained(counts: DataFrame) -> PieceModel:
+        with staging(spark):
+            return train_counts(stage(counts.groupBy("lang", "unit").agg(F.sum("n").alias("n")), "units"), pieces)
+
+    model = _fitted(spark, (vocabulary, given), lambda: trained(read))
     if labelled is None or not model.langs:
         return model
-    # The rows are chosen by their ids, so that no text is sorted; a repeated id gives one row.
-    usable = labelled.withColumn("code", label_code(F.col("language"))).where((F.length("text") <= max_chars) & F.col("code").isin(*model.langs))
-    ids = bounded(usable.select("id", "code"), "code", "id", max_labelled).select("id").distinct()
-    # At most max_labelled ids of each language.
-    chosen = usable.join(F.broadcast(ids), "id").groupBy("id").agg(F.min(F.struct("code", "text")).alias("r"))
-    rows = sorted((r.code, r.text) for r in chosen.select("r.*").collect())
+    usable = labelled.select("id", "text", label_code(F.col("language")).alias("code")).where(F.col("text").isNotNull() & F.col("code").isin(*model.langs))
+
+    def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield counter.counted(agreeing_sentences(list(pdf["text"]), list(pdf["code"]), model))
 
     def refined() -> PieceModel:
-        def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                model.warm(w for text in pdf["text"] for w in words_of(text.lower()))
-                agreed = [pair for label, text in zip(pdf["code"], pdf["text"]) for pair in agreeing_sentences(text, label, model)]
-                yield pd.DataFrame(agreed, columns=["code", "text"])
-
-        if not rows:
-            return model
-        src = spread(spark.createDataFrame(rows, "code string, text string"), "text", waves=1)
-        agreed = sorted((r.code, r.text) for r in src.mapInPandas(agree, "code string, text string").collect())
-        return train(data + agreed, pieces)
-
-    return _fitted(spark, (vocabulary, data, rows), refined)
-
-
-def agreeing_sentences(text: str, code: str, model: PieceModel) -> list[tuple[str, str]]:
-    """Sentences of a text whose label the model bears out, without those it is certain belong elsewhere."""
-    if text_kind(text, model) != "prose":
-        return []
-    main, confidence, _ = detect(text, model)
-    if main != code or confidence < 0.7:
-        return []
-    k, out = model.langs.index(code), []
-    for raw in speech.raw_turns(text):
-        for s in speech.sentences_of(speech.clean_text(raw)):
-            post = model.posterior(s)
-            if post is not None and post[k] > 1e-5:
-                out.append((code, s))
-    return out
+        return trained(read.unionByName(spread(usable, "id").mapInPandas(agree, schema)))
+
+    return _fitted(spark, (vocabulary, given, _contents(usable, "code", "text")), refined)
+
+
+def agreeing_sentences(texts: list[str], codes: list[str], model: PieceModel) -> Iterator[tuple[str, str]]:
+    """Sentences of the texts whose label the model bears out, without those it is certain belong elsewhere; scored all together."""
+    warm_kinds(texts, model)
+    prose = [(t, code) for t, code in zip(texts, codes) if text_kind(t, model) == "prose"]
+    read = [sentences_by_turn(t) for t, _ in prose]
+    parsed = [[(no, [told(s) for s in own]) for no, own in turns] for turns in read]
+    posts = iter(model.posteriors([words for turns in parsed for _, own in turns for words, _ in own]))
+    for (text, code), sentences, turns in zip(prose, read, parsed):
+        scored = [(no, [(next(posts), n) for _, n in own]) for no, own in turns]
+        sure = [(no, [(p, n) for p, n in own if p is not None]) for no, own in scored]
+        main, confidence, _ = detect(text, model, [(no, own) for no, own in sure if own])
+        if main != code or confidence < 0.7:
+            continue
+        k = model.langs.index(code)
+        for (_, own), (_, found) in zip(sentences, scored):
+            yield from ((code, s) for s, (post, _) in zip(own, found) if post is not None and post[k] > 1e-5)
+
+
+def sentences_by_turn(text: str) -> list[tuple[int, list[str]]]:
+    """The turns of a text by number, each with its sentences."""
+    return [(no + 1, speech.sentences_of(speech.clean_text(raw))) for no, raw in enumerate(speech.raw_turns(text))]
+
+
+def warm_kinds(texts: Iterable[str | None], model: PieceModel) -> None:
+    """Score the words by which the kinds of texts are told, all together; whole texts are scored only where no label tells that they are speech."""
+    model.warm(w for t in texts if t is not None and not speech.LABEL.search(t) for w in words_of(t.lower()))
 
 
 def parsed_turns(text: str) -> list[tuple[int, list[tuple[list[str], int]]]]:
     """The turns of a text by number, each with its sentences' words as evidence and their letters."""
-    out = []
-    for no, raw in enumerate(speech.raw_turns(text)):
-        out.append((no + 1, [told(s) for s in speech.sentences_of(speech.clean_text(raw))]))
-    return out
+    return [(no, [told(s) for s in own]) for no, own in sentences_by_turn(text)]
 
 
 Turns = list[tuple[int, list[tuple[np.ndarray, int]]]]
@@ -201,8 +213,7 @@ def languages(df: DataFrame, model: PieceModel, id_col: str = "row_id", text_col
         for pdf in batches:
             # All words of a batch are scored together first.
             parsed = scored_turns([t or "" for t in pdf["text"]], model)
-            # Whole texts are scored only where no label tells that they are speech.
-            model.warm(w for t in pdf["text"] if t is not None and not speech.LABEL.search(t) for w in words_of(t.lower()))
+            warm_kinds(pdf["text"], model)
             got = [
                 detect(t, model, p) if t is not None and text_kind(t, model) == "prose" else (None, 0.0, [])
                 for t, p in zip(pdf["text"], parsed)

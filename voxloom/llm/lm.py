@@ -11,11 +11,15 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from voxloom.llm.speech import words_of
+from voxloom.session import spread
 
 #: Where the public vocabularies lie; a parameter, never copied.
 TOKENIZER_DIR = os.environ.get("VOXLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -25,6 +29,8 @@ SCRIPTS = ("latin", "han", "tamil", "other")
 _CACHE_WORDS = 200_000
 #: Cells of the table of one batch of words in the forward algorithm; longer words go alone.
 _CELLS = 400_000
+#: Expected uses are added up over tasks as whole numbers, so that their order does not matter; all of a language's make up this many bits.
+_BITS = 52
 _RUN = re.compile(r"(.{1,4}?)\1{3,}")
 
 
@@ -113,16 +119,23 @@ def _finder(pieces: list[str]):
     return out
 
 
-_BUILT: dict[int, tuple[object, PieceModel]] = {}
+#: What a worker has built from broadcasts, last used last.  No stage needs more than two; a model that is done with goes with its words.
+_BUILT: dict[int, tuple[object, object]] = {}
+_BUILT_MOST = 3
+
+
+def _once(state: object, build: Callable):
+    """What ``build`` makes of the value of a broadcast, built once in each worker while it is in use."""
+    hit = _BUILT.pop(id(state), None)
+    while hit is None and len(_BUILT) >= _BUILT_MOST:
+        del _BUILT[next(iter(_BUILT))]
+    _BUILT[id(state)] = hit or (state, build(state))
+    return _BUILT[id(state)][1]
 
 
 def _of_broadcast(shared) -> PieceModel:
     """The model of a broadcast, built once in each worker."""
-    state = shared.value
-    hit = _BUILT.get(id(state))
-    if hit is None:
-        hit = _BUILT[id(state)] = (state, PieceModel(*state))
-    return hit[1]
+    return _once(shared.value, lambda state: PieceModel(*state))
 
 
 class PieceModel:
@@ -230,43 +243,142 @@ def train(samples: list[tuple[str, str]], pieces: list[str], langs: tuple[str, .
     impossible.  Languages without a sample are left out.
     """
     langs = tuple(x for x in langs if any(lang == x for lang, _ in samples))
-    vocabulary = set(pieces)
     counts: dict[str, Counter] = {x: Counter() for x in langs}
     for lang, text in samples:
         if lang in counts:
             counts[lang].update(w for w in words_of(text.lower()) if not w.isdigit())
-    chars = {c for lang in langs for w in counts[lang] for c in w}
-    known = sorted(vocabulary | chars | {MARK})
+    chars = {lang: {c for w in counts[lang] for c in w} for lang in langs}
+    known = _known(pieces, chars)
     finder, singles = _finder(known), {p for p in known if len(p) == 1}
-    even = 1.0 / max(len(vocabulary), 1)
-    learned = []
+    lattices = {lang: [] for lang in langs}
     for lang in langs:
-        lattices = []
         for words in _batches(counts[lang]):
-            lattices.append((Lattice([MARK + w for w in words], finder, singles, {}), np.array([counts[lang][w] for w in words], dtype=float)))
-        p = np.zeros(len(known))
-        for _ in range(rounds):
-            logs = np.log(0.98 * p + 0.02 * even)[:, None]
-            expected = np.zeros(len(known))
-            for lattice, n in lattices:
-                alpha, beta = lattice.forward(logs)[:, :, 0], lattice.backward(logs)[:, :, 0]
-                whole = alpha[np.arange(len(n)), lattice.sizes]
-                w = lattice.word
-                use = np.exp(alpha[w, lattice.start] + logs[lattice.piece, 0] + beta[w, lattice.end] - whole[w]) * n[w]
-                expected += np.bincount(lattice.piece, weights=use, minlength=len(known))
-            total = expected.sum() or 1.0
-            p = np.where(expected > 1e-9, expected, 0.0) / total
-        learned.append(p)
+            lattices[lang].append((Lattice([MARK + w for w in words], finder, singles, {}), np.array([counts[lang][w] for w in words], dtype=float)))
+
+    def expected(logs: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(known), len(langs)))
+        for k, lang in enumerate(langs):
+            for lattice, n in lattices[lang]:
+                out[:, k] += np.bincount(lattice.piece, weights=_uses(lattice, n, logs[:, k : k + 1]), minlength=len(known))
+        return out
+
+    return _maximised(expected, langs, known, pieces, chars, rounds, background)
+
+
+def _known(pieces: list[str], chars: dict[str, set[str]]) -> list[str]:
+    """The vocabulary and the characters that were met."""
+    return sorted(set(pieces).union({MARK}, *chars.values()))
+
+
+def _uses(lattice: Lattice, n: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """How often each edge of a lattice is expected to be used by ``n`` of each of its words."""
+    alpha, beta = lattice.forward(logs)[:, :, 0], lattice.backward(logs)[:, :, 0]
+    whole = alpha[np.arange(len(n)), lattice.sizes]
+    w = lattice.word
+    return np.exp(alpha[w, lattice.start] + logs[lattice.piece, 0] + beta[w, lattice.end] - whole[w]) * n[w]
+
+
+def _maximised(
+    expected: Callable[[np.ndarray], np.ndarray], langs: tuple[str, ...], known: list[str], pieces: list[str], chars: dict[str, set[str]], rounds: int, background: float
+) -> PieceModel:
+    """The rounds of expectation maximisation; ``expected`` gives the uses of each known piece by language."""
+    vocabulary = set(pieces)
+    even = 1.0 / max(len(vocabulary), 1)
+    p = np.zeros((len(known), len(langs)))
+    for _ in range(rounds if langs else 0):
+        uses = expected(np.log(0.98 * p + 0.02 * even))
+        total = uses.sum(axis=0)
+        p = np.where(uses > 1e-9, uses, 0.0) / np.where(total > 0, total, 1.0)
     # The background of a language lies mostly on the scripts its samples use.
-    own = [{script_of(c) for w in counts[lang] for c in w} for lang in langs]
+    own = [{script_of(c) for c in chars[lang]} for lang in langs]
     script = {piece: script_of(piece.strip(MARK)[:1] or "a") for piece in known}
     size = Counter(script[x] for x in vocabulary)
-    spread = {
+    floor = {
         x: np.array([background * (0.9 * (x in mine) / max(1, sum(size[y] for y in mine)) + 0.1 * even) for mine in own])
         for x in SCRIPTS
     }
-    probs = {piece: np.array([(1 - background) * p[k] for p in learned]) + spread[script[piece]] for k, piece in enumerate(known) if piece in vocabulary or any(p[k] for p in learned)}
-    return PieceModel.of(langs, probs, {x: row / 16 for x, row in spread.items()})
+    probs = {piece: (1 - background) * p[k] + floor[script[piece]] for k, piece in enumerate(known) if piece in vocabulary or p[k].any()}
+    return PieceModel.of(langs, probs, {x: row / 16 for x, row in floor.items()})
+
+
+# ---------------------------------------------------------------- training on tables of any size
+def units_of(word: str, longer) -> list[str]:
+    """The parts of a word between which no piece lies; ``longer`` finds the pieces of several characters.
+
+    The sum over a word's segmentations is the product of its parts' sums, so
+    parts are counted instead of words: a run of Chinese is a few of them.
+    """
+    word = MARK + word
+    joined = bytearray(len(word) + 1)
+    for end, (n, _) in longer.iter(word):
+        joined[end - n + 2 : end + 1] = b"\1" * (n - 1)
+    cuts = [0, *(i for i in range(1, len(word)) if not joined[i]), len(word)]
+    return [word[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+class UnitCounter:
+    """Counts units of texts by language inside a task; the vocabulary is sent as a broadcast."""
+
+    def __init__(self, spark, pieces: list[str]):
+        self._pieces = spark.sparkContext.broadcast([p for p in pieces if len(p) > 1])
+
+    def counted(self, samples: Iterable[tuple[str, str]]) -> pd.DataFrame:
+        """``lang, unit, n`` of (language, text)."""
+        longer = _once(self._pieces.value, _finder)
+        words: Counter = Counter()
+        for lang, text in samples:
+            words.update((lang, w) for w in words_of(text.lower()) if not w.isdigit())
+        units: Counter = Counter()
+        for (lang, w), n in words.items():
+            for u in units_of(w, longer):
+                units[lang, u] += n
+        return pd.DataFrame([(lang, u, n) for (lang, u), n in units.items()], columns=["lang", "unit", "n"])
+
+
+def train_counts(counts: DataFrame, pieces: list[str], langs: tuple[str, ...] = LANGS, rounds: int = 4, background: float = 0.1) -> PieceModel:
+    """``train`` on a table of ``lang``, ``unit`` and their number ``n``, each unit once.
+
+    Every round adds up the expected uses in tasks and over them; what reaches
+    the driver is a number for each piece of the vocabulary and each character.
+    """
+    spark = counts.sparkSession
+
+    def letters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met = {(lang, c) for pdf in batches for lang, u in zip(pdf["lang"], pdf["unit"]) for c in u}
+        yield pd.DataFrame(sorted(met), columns=["lang", "c"])
+
+    rows = counts.select("lang", "unit").mapInPandas(letters, "lang string, c string").distinct().collect()
+    langs = tuple(x for x in langs if any(r.lang == x for r in rows))
+    chars = {x: {r.c for r in rows if r.lang == x and r.c != MARK} for x in langs}
+    size = {r.lang: r.size for r in counts.groupBy("lang").agg(F.sum(F.col("n") * F.length("unit")).alias("size")).collect()}
+    parts = np.array([2.0 ** (_BITS - int(size[x]).bit_length()) for x in langs])
+    known = _known(pieces, chars)
+    shared = spark.sparkContext.broadcast(known)
+
+    def expected(logs: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast(logs)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            finder = _once(shared.value, _finder)
+            singles = {p for p in shared.value if len(p) == 1}
+            total = np.zeros(sent.value.shape, dtype=np.int64)
+            for pdf in batches:
+                for lang, g in pdf.groupby("lang"):
+                    n, k = dict(zip(g["unit"], g["n"])), langs.index(lang)
+                    for units in _batches(n):
+                        lattice = Lattice(units, finder, singles, {})
+                        uses = np.rint(_uses(lattice, np.array([n[u] for u in units], dtype=float), sent.value[:, k : k + 1]) * parts[k])
+                        total[:, k] += np.bincount(lattice.piece, weights=uses, minlength=len(total)).astype(np.int64)
+            piece, k = np.nonzero(total)
+            yield pd.DataFrame({"piece": piece, "k": k, "v": total[piece, k]})
+
+        added = spread(counts, "lang", "unit", waves=1).mapInPandas(run, "piece long, k long, v long").groupBy("piece", "k").agg(F.sum("v").alias("v")).toArrow()
+        out = np.zeros(logs.shape)
+        out[added["piece"].to_numpy(), added["k"].to_numpy()] = added["v"].to_numpy()
+        sent.unpersist()
+        return out / parts
+
+    return _maximised(expected, langs, known, pieces, chars, rounds, background)
 
 
 def mean_log(scores: np.ndarray, chars: int) -> float:
