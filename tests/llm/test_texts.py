@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from voxloom.llm import kinds, lang, lm, pii, quality, repetition, truncation
+from voxloom.llm import kinds, lang, lm, pii, quality, queries, repetition, truncation
 
 needs_pieces = pytest.mark.skipif(not os.path.exists(os.path.join(lm.TOKENIZER_DIR, "piece_bpe_32k.model")), reason="no public vocabulary here")
 
@@ -190,6 +190,28 @@ def test_repetition_against_brute_force():
     assert repetition.repeated_share(None) == (0.0, 0, 0) and repetition.repeated_share("word " * 30000)[0] > 0.99
 
 
+@needs_pieces
+def test_repetitive_prose_is_found_in_one_python_pass(spark, m, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    once = "the driver opened the old map."
+    listed = "the map, a boat, the window, my cousin, the map, a boat, the window, my cousin"
+    table = "id,item,n\n0,the old map,3\n0,the old map,3\n0,the old map,3"
+    junk = "xkqz fjwv zzxq pvkx qjzw " * 6
+    rows = [(1, once * 3), (2, once), (3, None), (4, ""), (5, listed), (6, table), (7, junk), (8, "<Speaker1>: " + listed), (9, "司机打开了旧地图。" * 2), (1, once * 3)]
+    rows += [(100 + i, " ".join(sentence("en", rng) for _ in range(8))) for i in range(60)]
+    spark.createDataFrame(rows, "row_id long, text string").write.parquet(str(tmp_path / "feature_rows.parquet"))
+    monkeypatch.setattr(queries, "_model", lambda spark, sf: m)
+    high = [(i, t) for i, t in rows if repetition.repeated_share(t)[0] >= repetition.MIN_SHARE]
+    assert {5, 6, 7} <= {i for i, _ in high}
+    found = queries.p6_found(spark, str(tmp_path))
+    got = sorted(r.row_id for r in found.collect())
+    assert got == sorted(i for i, t in high if kinds.text_kind(t, m) == "prose")
+    assert [i for i in got if i < 100] == [1, 1, 8, 9]
+    # Every further Python stage of a task is a worker with a model of its own.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "EvalPython" not in plan
+
+
 def test_cuts_of_held_out_texts():
     rng = random.Random(1)
     def text():

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm import lang, mixing, pieces, pii, quality, repetition, tokens, truncation, turns
-from voxloom.llm.kinds import text_kind
 from voxloom.llm.lm import PieceModel
 from voxloom.session import read_table
 
@@ -78,14 +77,7 @@ def p6_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    model = _model(spark, sf)
-    high = repetition.repetition(read_table(spark, sf, "feature_rows")).where(F.col("repeated_share") >= repetition.MIN_SHARE)
-
-    @F.pandas_udf("boolean")
-    def prose(texts):
-        return texts.map(lambda t: text_kind(t, model) == "prose")
-
-    return high.where(prose("text")).select(F.col("id").alias("row_id"))
+    return repetition.repetitive(read_table(spark, sf, "feature_rows"), _model(spark, sf)).withColumnRenamed("id", "row_id")
 
 
 def p7_rates(spark: SparkSession, sf: str) -> DataFrame:

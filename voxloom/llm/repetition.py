@@ -18,7 +18,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.speech import strip_marks
+from voxloom.llm.kinds import text_kind
+from voxloom.llm.lm import PieceModel
+from voxloom.llm.speech import strip_marks, words_of
 from voxloom.session import spread
 
 #: A wording counts from so many words, or so many Chinese characters, on.
@@ -133,9 +135,25 @@ def repetition(df: DataFrame, id_col: str = "row_id", text_col: str = "text") ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [repeated_share(t) for t in pdf["text"]]
-            yield pd.DataFrame(
-                {"id": pdf["id"], "text": pdf["text"], "repeated_share": [g[0] for g in got], "longest_repeat": [g[1] for g in got], "n_words": [g[2] for g in got]}
-            )
+            yield pd.DataFrame({"id": pdf["id"], "repeated_share": [g[0] for g in got], "longest_repeat": [g[1] for g in got], "n_words": [g[2] for g in got]})
 
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return spread(src, "id").mapInPandas(run, "id long, text string, repeated_share double, longest_repeat long, n_words long")
+    return spread(src, "id").mapInPandas(run, "id long, repeated_share double, longest_repeat long, n_words long")
+
+
+def repetitive(df: DataFrame, model: PieceModel, id_col: str = "row_id", text_col: str = "text") -> DataFrame:
+    """``id`` of each prose text of which ``MIN_SHARE`` or more is repeated.
+
+    The kind is told where the share is: no text goes back to the JVM, and a task keeps one Python worker.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            # Only texts that repeat enough are asked for their kind.
+            high = [repeated_share(t)[0] >= MIN_SHARE for t in pdf["text"]]
+            model.warm(w for t, h in zip(pdf["text"], high) if h for w in words_of(t.lower()))
+            found = [h and text_kind(t, model) == "prose" for t, h in zip(pdf["text"], high)]
+            yield pdf.loc[np.array(found, dtype=bool), ["id"]]
+
+    src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return spread(src, "id").mapInPandas(run, "id long")
