@@ -212,6 +212,21 @@ def test_repetitive_prose_is_found_in_one_python_pass(spark, m, tmp_path, monkey
     assert plan.count("MapInPandas") == 1 and "EvalPython" not in plan
 
 
+@needs_pieces
+def test_the_fit_holds_the_words_of_a_part_at_a_time(m, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(sentence("en", rng) for _ in range(rng.randint(1, 6))) for _ in range(300)] + [" ".join(sentence("en", rng) for _ in range(400)), ""]
+    codes = [rng.choice(["en", "ms"]) for _ in texts]
+    monkeypatch.setattr(lang, "_PART", 10**9, raising=False)
+    whole = list(lang.agreeing_sentences(texts, codes, m))
+    monkeypatch.setattr(lang, "_PART", 2000, raising=False)
+    asked, posteriors = [], m.posteriors
+    monkeypatch.setattr(m, "posteriors", lambda given: asked.append(len(given)) or posteriors(given))
+    assert list(lang.agreeing_sentences(texts, codes, m)) == whole and len(whole) > 300
+    # The long text goes alone; every other part is a small share of the batch.
+    assert sorted(asked)[-1] == 400 and sorted(asked)[-2] < 120 and list(lang.agreeing_sentences([], [], m)) == []
+
+
 def test_cuts_of_held_out_texts():
     rng = random.Random(1)
     def text():

@@ -29,6 +29,8 @@ from voxloom.session import spread, stage, staging
 
 #: A sentence's language counts from this posterior on.
 SURE = 0.9
+#: Characters of the texts whose words the fit holds at a time; those of a whole batch would take many times its size.
+_PART = 200_000
 
 # Names of the languages as labels spell them, without case, region and outer blanks.
 LANGUAGE_NAMES = {
@@ -123,7 +125,25 @@ def fit_model(spark: SparkSession, samples: DataFrame, words: DataFrame | None =
 
 
 def agreeing_sentences(texts: list[str], codes: list[str], model: PieceModel) -> Iterator[tuple[str, str]]:
-    """Sentences of the texts whose label the model bears out, without those it is certain belong elsewhere; scored all together."""
+    """Sentences of the texts whose label the model bears out, without those it is certain belong elsewhere; scored many at a time."""
+    for part in _parts(texts):
+        yield from _agreeing(texts[part], codes[part], model)
+
+
+def _parts(texts: list[str]) -> Iterator[slice]:
+    """Neighbouring texts of at most ``_PART`` characters together; a longer one goes alone."""
+    start = size = 0
+    for k, t in enumerate(texts):
+        if k > start and size + len(t) > _PART:
+            yield slice(start, k)
+            start, size = k, 0
+        size += len(t)
+    if texts:
+        yield slice(start, len(texts))
+
+
+def _agreeing(texts: list[str], codes: list[str], model: PieceModel) -> Iterator[tuple[str, str]]:
+    """``agreeing_sentences`` of one part; scored all together."""
     warm_kinds(texts, model)
     prose = [(t, code) for t, code in zip(texts, codes) if text_kind(t, model) == "prose"]
     read = [sentences_by_turn(t) for t, _ in prose]
